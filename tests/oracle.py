@@ -1,0 +1,35 @@
+"""Compare a query with its SQL twin: same columns, same rows in any order."""
+
+from __future__ import annotations
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events "
+    "documents embeddings pages benchmark labels conversations"
+).split()
+
+
+def connect(folder: str) -> duckdb.DuckDBPyConnection:
+    db = duckdb.connect()
+    for name in TABLES:
+        db.sql(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{folder}/{name}.parquet')")
+    return db
+
+
+def rows_of(frame) -> tuple[list[str], list[tuple]]:
+    """Columns by name and sorted rows; frames come from pandas."""
+    names = sorted(frame.columns)
+    frame = frame[names].astype(object).where(frame[names].notna(), None)
+    rows = [tuple(row) for row in frame.itertuples(index=False, name=None)]
+    return names, sorted(rows, key=repr)
+
+
+def difference(spark_frame, sql_frame) -> str | None:
+    mine, theirs = rows_of(spark_frame), rows_of(sql_frame)
+    if mine[0] != theirs[0]:
+        return f"columns {mine[0]} vs {theirs[0]}"
+    if len(mine[1]) != len(theirs[1]):
+        return f"{len(mine[1])} vs {len(theirs[1])} rows"
+    wrong = [(a, b) for a, b in zip(mine[1], theirs[1]) if a != b]
+    return f"{len(wrong)} rows differ, first {wrong[0]}" if wrong else None
