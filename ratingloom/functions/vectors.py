@@ -17,8 +17,14 @@ def norm(vector: Column) -> Column:
 
 def unit(vector: Column) -> Column:
     """``vector`` at length one, as doubles; a zero vector stays zero."""
-    length = norm(vector)
-    return F.transform(vector, lambda x: F.when(length > 0, x / length).otherwise(x.cast("double")))
+    # The one-element array computes the norm once per vector, not once per element.
+    scaled = F.transform(
+        F.array(norm(vector)),
+        lambda length: F.transform(
+            vector, lambda x: F.when(length > 0, x / length).otherwise(x.cast("double"))
+        ),
+    )
+    return F.get(scaled, F.lit(0))
 
 
 def cosine(left: Column, right: Column) -> Column:

@@ -11,8 +11,14 @@ from pyspark.sql import functions as F
 from ratingloom.operators.nearest import top_n
 from ratingloom.scratch import shared_folder
 
-# Ratings one factor block is meant to hold.
-_BLOCK_RATINGS = 2_000_000
+# Ratings a factor block should hold, and the most it may hold once there are
+# _MANY_BLOCKS of them: the fit exchanges a message per pair of blocks.
+_BLOCK_RATINGS, _FULL_BLOCK_RATINGS, _MANY_BLOCKS = 2_000_000, 100_000_000, 2_000
+
+
+def _block_count(ratings: int, parallel: int) -> int:
+    wanted = max(math.ceil(ratings / _BLOCK_RATINGS), min(parallel, 10))
+    return max(min(wanted, _MANY_BLOCKS), math.ceil(ratings / _FULL_BLOCK_RATINGS))
 
 
 def fit_als(
@@ -31,9 +37,10 @@ def fit_als(
     checkpointed in the shared folder every few iterations, so a lost executor
     does not replay the whole fit.
     """
-    shared_folder(train.sparkSession)
+    spark = train.sparkSession
+    shared_folder(spark)
     if blocks is None:
-        blocks = min(max(10, math.ceil(train.count() / _BLOCK_RATINGS)), 1000)
+        blocks = _block_count(train.count(), spark.sparkContext.defaultParallelism)
     als = ALS(
         userCol="user_idx",
         itemCol="item_idx",

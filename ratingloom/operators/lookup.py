@@ -2,53 +2,69 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ratingloom.scratch import materialize
+
 # Most rows of one key that a single join task should have to read.
 SLICE_ROWS = 4_000_000
 
 
+class KeyTable(NamedTuple):
+    """A stored table, unique on its key.
+
+    ``cnt`` is how many rows of the frame it will be joined to carry the key, or
+    an upper bound; ``peak`` is the largest ``cnt``.
+    """
+
+    rows: DataFrame
+    peak: int
+
+
 def key_counts(rows: DataFrame, key: str) -> DataFrame:
     """Rows per key as ``cnt``; partial counts leave each task before the shuffle."""
     return rows.groupBy(key).agg(F.count("*").alias("cnt"))
 
 
+def store_keys(table: DataFrame, label: str) -> KeyTable:
+    """Store a keyed table; its peak is observed while it is written."""
+    seen = Observation()
+    stored = materialize(table.observe(seen, F.max("cnt").alias("peak")), label)
+    return KeyTable(stored, seen.get.get("peak") or 0)
+
+
 def attach(
-    rows: DataFrame,
-    table: DataFrame,
-    key: str,
-    how: str = "inner",
-    slice_rows: int = SLICE_ROWS,
+    rows: DataFrame, table: KeyTable, key: str, how: str = "inner", slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
-    """Join ``rows`` to ``table``, unique on ``key`` and carrying ``cnt``.
+    """Join ``rows`` to a keyed table.
 
-    ``cnt`` is how many of ``rows`` have the key (or an upper bound).  While no
-    key exceeds ``slice_rows`` the join is left to Catalyst, which broadcasts
-    ``table`` when its stored size allows.  Otherwise each hot key is cut into
-    ``cnt / slice_rows`` slices: its rows spread over the slices and its single
-    table row is repeated once per slice.  The list of hot keys has at most
+    While no key exceeds ``slice_rows`` the join is left to Catalyst, which
+    broadcasts the table when its stored size allows.  Otherwise each hot key is
+    cut into ``cnt / slice_rows`` slices: its rows spread over the slices and
+    its table row is repeated once per slice.  The list of hot keys has at most
     (all rows / slice_rows) entries, which bounds what is broadcast.
-
-    ``table`` should be a stored table, since its largest count is read first.
     """
-    lookup = table.drop("cnt")
-    peak = table.agg(F.max("cnt")).first()[0]
-    if peak is None or peak <= slice_rows:
-        return rows.join(lookup, key, how)
+    lookup = table.rows
+    columns = list(rows.columns)
+    if how not in ("left_semi", "left_anti"):
+        columns += [name for name in lookup.columns if name not in (key, "cnt")]
+    if table.peak <= slice_rows:
+        return rows.join(lookup.drop("cnt"), key, how).select(columns)
 
     slices = F.ceil(F.col("cnt") / slice_rows).cast("int")
-    hot = table.where(F.col("cnt") > slice_rows).select(key, slices.alias("_slices"))
+    hot = lookup.where(F.col("cnt") > slice_rows).select(key, slices.alias("_slices"))
     # Copies of one row read by different tasks must not share a slice either,
     # hence the partition id next to the row's hash.
-    spread = F.xxhash64(*rows.columns) + F.spark_partition_id()
-    sliced_rows = rows.withColumn("_spread", F.pmod(spread, F.lit(1 << 30))).join(
-        F.broadcast(hot), key, "left"
+    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(1 << 30)) + F.spark_partition_id()
+    sliced_rows = (
+        rows.withColumn("_spread", spread)
+        .join(F.broadcast(hot), key, "left")
+        .withColumn("_slice", F.coalesce(F.col("_spread") % F.col("_slices"), F.lit(0)).cast("int"))
+        .drop("_spread", "_slices")
     )
-    sliced_rows = sliced_rows.withColumn(
-        "_slice", F.coalesce(F.col("_spread") % F.col("_slices"), F.lit(0)).cast("int")
-    ).drop("_spread", "_slices")
-    repeated = table.withColumn(
-        "_slice", F.explode(F.sequence(F.lit(0), F.greatest(slices, F.lit(1)) - 1))
-    ).drop("cnt")
-    return sliced_rows.join(repeated, [key, "_slice"], how).drop("_slice")
+    every_slice = F.explode(F.sequence(F.lit(0), F.greatest(slices, F.lit(1)) - 1))
+    repeated = lookup.withColumn("_slice", every_slice).drop("cnt")
+    return sliced_rows.join(repeated, [key, "_slice"], how).select(columns)

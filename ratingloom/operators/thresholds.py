@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratingloom.operators.lookup import SLICE_ROWS, attach, key_counts
-from ratingloom.scratch import materialize
+from ratingloom.operators.lookup import SLICE_ROWS, KeyTable, attach, key_counts, store_keys
+from ratingloom.scratch import side_by_side
+
+
+def _frequent(ratings: DataFrame, key: str, minimum: int) -> KeyTable:
+    counts = key_counts(ratings, key).where(F.col("cnt") >= minimum)
+    return store_keys(counts, f"frequent-{key}")
 
 
 def min_interactions(ratings: DataFrame, minimum: int = 5, slice_rows: int = SLICE_ROWS) -> DataFrame:
@@ -14,10 +21,13 @@ def min_interactions(ratings: DataFrame, minimum: int = 5, slice_rows: int = SLI
 
     Both counts look at the input as given.  It is a single pass: what is left
     of a user may fall below the minimum once light items are gone.
+
+    ``ratings`` is read three times; pass a stored table when it is expensive.
     """
-    kept = ratings
-    for key in ("user_id", "item_id"):
-        frequent = key_counts(ratings, key).where(F.col("cnt") >= minimum)
-        frequent = materialize(frequent, f"frequent-{key}")
-        kept = attach(kept, frequent, key, "left_semi", slice_rows)
-    return kept
+    users, items = side_by_side(
+        ratings.sparkSession,
+        partial(_frequent, ratings, "user_id", minimum),
+        partial(_frequent, ratings, "item_id", minimum),
+    )
+    kept = attach(ratings, users, "user_id", "left_semi", slice_rows)
+    return attach(kept, items, "item_id", "left_semi", slice_rows)

@@ -1,43 +1,62 @@
-"""Damped mean ratings: a closed-form model to run the grid search with."""
+"""Damped mean ratings: a closed-form model whose grid search SQL can repeat."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratingloom.operators.lookup import attach
-from ratingloom.scratch import materialize
+from ratingloom.operators.lookup import KeyTable, attach, store_keys
+from ratingloom.scratch import side_by_side
 
 
-@dataclass(frozen=True)
-class BiasModel:
-    """Global mean plus damped deviations of the user and the item."""
+def _sums(train: DataFrame, key: str, name: str) -> KeyTable:
+    totals = train.groupBy(key).agg(F.sum("rating").alias(f"{name}_sum"), F.count("*").alias("cnt"))
+    return store_keys(totals.withColumn(f"{name}_cnt", F.col("cnt")), f"{name}-sums")
 
-    user_bias: DataFrame
-    item_bias: DataFrame
 
-    def transform(self, pairs: DataFrame) -> DataFrame:
-        """Add ``prediction``; pairs with an unseen user or item are dropped."""
-        scored = attach(pairs, self.item_bias, "item_idx")
-        scored = attach(scored, self.user_bias, "user_idx")
-        prediction = F.col("mean") + F.col("item_bias") + F.col("user_bias")
-        return scored.withColumn("prediction", F.round(prediction, 9)).drop(
-            "mean", "item_bias", "user_bias"
+@dataclass(frozen=True)
+class RatingSums:
+    """What every candidate's fit needs: rating sums of the training rows."""
+
+    mean: float
+    users: KeyTable
+    items: KeyTable
+
+    @classmethod
+    def of(cls, train: DataFrame) -> RatingSums:
+        users, items = side_by_side(
+            train.sparkSession,
+            partial(_sums, train, "user_idx", "user"),
+            partial(_sums, train, "item_idx", "item"),
         )
+        whole = users.rows.agg(F.sum("user_sum") / F.sum("cnt"))
+        return cls(whole.first()[0], users, items)
+
+    def fit(self, train: DataFrame, item_damping: float, user_damping: float) -> BiasModel:
+        return BiasModel(self, item_damping, user_damping)
 
 
-def fit_bias(train: DataFrame, item_damping: float = 0.0, user_damping: float = 0.0) -> BiasModel:
-    """Deviations from the global mean, shrunk as if ``damping`` more average rows existed."""
-    mean = train.agg(F.avg("rating")).first()[0]
+@dataclass(frozen=True)
+class BiasModel:
+    """Global mean plus the user's and the item's mean deviation from it.
+
+    A deviation is shrunk as if ``damping`` more average ratings existed.
+    """
 
-    def bias(key: str, damping: float, name: str) -> DataFrame:
-        deviation = F.sum(F.col("rating") - mean) / (F.count("*") + damping)
-        return train.groupBy(key).agg(deviation.alias(name), F.count("*").alias("cnt"))
+    sums: RatingSums
+    item_damping: float
+    user_damping: float
 
-    items = bias("item_idx", item_damping, "item_bias").withColumn("mean", F.lit(mean))
-    return BiasModel(
-        user_bias=materialize(bias("user_idx", user_damping, "user_bias"), "user-bias"),
-        item_bias=materialize(items, "item-bias"),
-    )
+    def _bias(self, name: str, damping: float) -> Column:
+        count = F.col(f"{name}_cnt")
+        return (F.col(f"{name}_sum") - self.sums.mean * count) / (count + damping)
+
+    def transform(self, pairs: DataFrame) -> DataFrame:
+        """Add ``prediction``; pairs with an unseen user or item are dropped."""
+        scored = attach(pairs, self.sums.items, "item_idx")
+        scored = attach(scored, self.sums.users, "user_idx")
+        biases = self._bias("item", self.item_damping) + self._bias("user", self.user_damping)
+        return scored.select(*pairs.columns, F.round(self.sums.mean + biases, 9).alias("prediction"))

@@ -23,7 +23,7 @@ from ratingloom.operators import (
 )
 from ratingloom.operators.nearest import top_n
 from ratingloom.plans import inputs
-from ratingloom.plans.bias_model import fit_bias
+from ratingloom.plans.bias_model import RatingSums
 from ratingloom.scratch import materialize, scratch_path
 from ratingloom.sources import experiments, reviews
 from ratingloom.sources.metadata import read_metadata
@@ -190,7 +190,8 @@ _file_query("reviews_parquet", ".parquet", lambda df, path: df.write.parquet(pat
 
 
 def _kept(spark: SparkSession, folder: str) -> DataFrame:
-    return thresholds.min_interactions(inputs.ratings(spark, folder), MINIMUM)
+    ratings = materialize(inputs.ratings(spark, folder), "ratings")
+    return thresholds.min_interactions(ratings, MINIMUM)
 
 
 def _indexed(spark: SparkSession, folder: str) -> indexing.Indexed:
@@ -203,8 +204,7 @@ def min_interactions(spark, folder):
 
 
 def _map(spark: SparkSession, folder: str, key: str, index: str) -> DataFrame:
-    counts = indexing.key_counts(_kept(spark, folder), key)
-    return indexing.dense_index(counts, key, index).drop("cnt").orderBy(index)
+    return indexing.dense_index(_kept(spark, folder), key, index).rows.drop("cnt").orderBy(index)
 
 
 @query("user_map", f"WITH {_MAPS} SELECT user_idx, user_id FROM user_map")
@@ -428,7 +428,7 @@ def _split_pairs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame
 
 def _predictions(spark: SparkSession, folder: str) -> DataFrame:
     train, validation = _split_pairs(spark, folder)
-    return fit_bias(train, 10.0, 10.0).transform(validation)
+    return RatingSums.of(train).fit(train, 10.0, 10.0).transform(validation)
 
 
 @query(
@@ -482,7 +482,7 @@ named AS (
 
 def _trials(spark: SparkSession, folder: str) -> DataFrame:
     train, validation = _split_pairs(spark, folder)
-    trials, _ = grid.search(train, validation, grid.grid(_AXES), fit_bias, K)
+    trials, _ = grid.search(train, validation, grid.grid(_AXES), RatingSums.of(train).fit, K)
     return grid.trials_frame(spark, trials)
 
 

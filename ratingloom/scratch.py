@@ -9,11 +9,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+_Result = TypeVar("_Result")
+
 _written: list[str] = []
 
 
@@ -53,6 +58,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def side_by_side(spark: SparkSession, *steps: Callable[[], _Result]) -> list[_Result]:
+    """Run independent steps, each with jobs of its own, at the same time."""
+    inherit = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [job.result() for job in [pool.submit(inherit(step)) for step in steps]]
+
+
 @contextmanager
 def scratch_tables(spark: SparkSession) -> Iterator[None]:
     """Drop the scratch tables written inside the block when it ends."""

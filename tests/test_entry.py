@@ -1,0 +1,34 @@
+"""Every registered query against its SQL twin on the given tables."""
+
+import os
+
+import pytest
+
+import __spark_entry__ as contract
+from oracle import connect, difference
+
+FOLDER = os.environ.get("RATINGLOOM_TEST_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="module")
+def db():
+    return connect(FOLDER)
+
+
+def test_entry(spark):
+    rows = contract.entry(spark).collect()
+    assert [r["rank"] for r in sorted(rows)] == list(range(1, 11))
+
+
+def test_every_oracle_has_a_query():
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
+@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_query(spark, db, name):
+    found = contract.queries()[name](spark, FOLDER).toPandas()
+    sql = contract.oracle_sql().get(name)
+    if sql is None:
+        assert len(found)
+    else:
+        assert difference(found, db.sql(sql).df()) is None
