@@ -105,7 +105,8 @@ errors AS (
 trials AS (
   SELECT ordinal, ANY_VALUE(item_damping) AS item_damping, ANY_VALUE(user_damping) AS user_damping,
     round(ANY_VALUE(rmse), 6) AS rmse, round(avg("precision"), 6) AS precision_at_k,
-    round(avg(recall), 6) AS recall_at_k, round(avg(ndcg), 6) AS ndcg_at_k
+    round(avg(recall), 6) AS recall_at_k, round(avg(ndcg), 6) AS ndcg_at_k,
+    row_number() OVER (ORDER BY round(avg("precision"), 9) DESC, round(ANY_VALUE(rmse), 9), ordinal) AS place
   FROM per_user JOIN errors USING (ordinal) JOIN candidates USING (ordinal) GROUP BY ordinal)"""
 
 
@@ -472,10 +473,9 @@ def rmse_baseline(spark, folder):
 # -- grid search ---------------------------------------------------------------
 
 _RUN_NAMES = """
-best AS (SELECT ordinal FROM trials ORDER BY precision_at_k DESC, rmse, ordinal LIMIT 1),
 named AS (
-  SELECT trials.*, ordinal = (SELECT ordinal FROM best) AS is_best,
-    concat(CASE WHEN ordinal = (SELECT ordinal FROM best) THEN 'best' ELSE 'candidate' END,
+  SELECT trials.* EXCLUDE (place), place = 1 AS is_best,
+    concat(CASE WHEN place = 1 THEN 'best' ELSE 'candidate' END,
            '_item_damping=', item_damping, '_user_damping=', user_damping) AS run_name
   FROM trials)"""
 
