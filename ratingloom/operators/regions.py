@@ -1,0 +1,127 @@
+"""Regions of the vector space and what they promise about scores.
+
+A region is the set of items nearest to one pivot direction.  For a query at
+angle t to the pivot, and items between angles a and b to it, no item can be
+closer to the query than t - b or a - t.  With the largest item length that
+bounds every score in the region, so a region whose bound stays below a query's
+n-th best score so far cannot hold one of its best n items.
+"""
+
+from __future__ import annotations
+
+import sys
+from collections.abc import Iterator
+from typing import NamedTuple
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ratingloom.operators.blocks import matrix_of
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# Most pivots; their vectors are what the driver holds.
+_MOST_PIVOTS = 1024
+# Slack that keeps rounding from pruning an item that ties with the n-th best: on
+# the cosine, where arccos loses half the digits near zero, and on the score.
+_COSINE_SLACK, _SCORE_SLACK = 1e-6, 1e-8
+
+
+def pick_pivots(items: DataFrame, key: str, vector: str, wanted: int) -> np.ndarray:
+    """Unit vectors of the items whose keys hash lowest."""
+    drawn = items.orderBy(F.xxhash64(key), key).limit(min(wanted, _MOST_PIVOTS))
+    rows = [row[0] for row in drawn.select(vector).collect()]
+    units, _ = _units(np.array(rows, dtype=np.float64))
+    return units
+
+
+def _units(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    lengths = np.linalg.norm(matrix, axis=1)
+    return matrix / np.where(lengths > 0, lengths, 1.0)[:, None], lengths
+
+
+def _angles(units: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(units @ pivots.T, -1.0, 1.0))
+
+
+def locate(df: DataFrame, vector: str, pivots: np.ndarray, cosine: bool) -> DataFrame:
+    """Add ``_region``, the angle to its pivot and the length (one for cosine)."""
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            if not table.num_rows:
+                continue
+            units, lengths = _units(matrix_of(table[vector], False))
+            angles = _angles(units, pivots)
+            region = angles.argmin(axis=1)
+            table = table.append_column("_region", pa.array(region.astype(np.int32)))
+            nearest = angles[np.arange(len(region)), region]
+            table = table.append_column("_angle", pa.array(nearest))
+            length = (lengths > 0).astype(np.float64) if cosine else lengths
+            yield from table.append_column("_length", pa.array(length)).to_batches()
+
+    added = [
+        T.StructField("_region", T.IntegerType()),
+        T.StructField("_angle", T.DoubleType()),
+        T.StructField("_length", T.DoubleType()),
+    ]
+    return df.mapInArrow(place, T.StructType([*df.schema, *added]))
+
+
+class Region(NamedTuple):
+    """What is known of the items of one pivot."""
+
+    region: int
+    rows: int
+    least_angle: float
+    most_angle: float
+    most_length: float
+
+
+def describe_regions(located: DataFrame) -> list[Region]:
+    """One entry per region that has items; there are as many as pivots at most."""
+    stats = located.groupBy("_region").agg(
+        F.count("*"), F.min("_angle"), F.max("_angle"), F.max("_length")
+    )
+    return sorted(Region(*row) for row in stats.collect())
+
+
+def reachable(
+    queries: DataFrame, vector: str, pivots: np.ndarray, regions: list[Region], cosine: bool
+) -> DataFrame:
+    """Add ``_regions``: where an item could reach the query's ``_bar``, its own region aside."""
+    ids = np.array([r.region for r in regions])
+    least = np.array([r.least_angle for r in regions])
+    most = np.array([r.most_angle for r in regions])
+    longest = np.array([r.most_length for r in regions])
+
+    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            if not table.num_rows:
+                continue
+            units, lengths = _units(matrix_of(table[vector], False))
+            angles = _angles(units, pivots[ids])
+            gap = np.maximum(np.maximum(angles - most, least - angles), 0.0)
+            # Beyond a right angle no score is positive, whatever the lengths.
+            bound = (np.maximum(np.cos(np.minimum(gap, np.pi)), 0.0) + _COSINE_SLACK) * longest
+            if not cosine:
+                bound *= lengths[:, None]
+            bar = table["_bar"].to_numpy()
+            own = table["_region"].to_numpy()
+            wanted = bound + _SCORE_SLACK >= bar[:, None]
+            wanted &= ids[None, :] != own[:, None]
+            row, column = np.nonzero(wanted)
+            offsets = np.searchsorted(row, np.arange(len(wanted) + 1))
+            lists = pa.ListArray.from_arrays(
+                pa.array(offsets.astype(np.int32)), pa.array(ids[column].astype(np.int32))
+            )
+            yield from table.append_column("_regions", lists).to_batches()
+
+    added = T.StructField("_regions", T.ArrayType(T.IntegerType()))
+    return queries.mapInArrow(reach, T.StructType([*queries.schema, added]))

@@ -20,6 +20,7 @@ from ratingloom.operators import (
     profile,
     ranking_metrics,
     recommending,
+    regions,
     splitting,
     thresholds,
 )
@@ -348,31 +349,61 @@ def test_vector_functions(spark):
     assert rows[1][2] == pytest.approx(1 / math.sqrt(2))
 
 
-def random_factors(spark, rows, seed, dim=6, copies=False):
+def random_factors(spark, rows, seed, dim=6, shape="plain"):
+    """Random vectors; "copies" repeats one in half the rows, "clusters" has few directions."""
     draw = np.random.default_rng(seed)
-    matrix = draw.normal(size=(rows, dim)).astype(np.float32)
-    if copies:
+    matrix = draw.normal(size=(rows, dim))
+    if shape == "copies":
         matrix[rows // 2 :] = matrix[0]
+    if shape == "clusters":
+        centres = np.random.default_rng(99).normal(size=(8, dim)) * 3
+        matrix = centres[draw.integers(8, size=rows)] + matrix * 0.05
+    if shape == "zeros":
+        matrix[:: 3] = 0
+    matrix = matrix.astype(np.float32)
     data = [(int(i), [float(x) for x in v]) for i, v in enumerate(matrix)]
     return spark.createDataFrame(data, "id int, features array<float>"), matrix.astype(np.float64)
 
 
-@pytest.mark.parametrize("block_rows", [16_384, 40, 7])
-@pytest.mark.parametrize("copies", [False, True])
-def test_top_n_equals_brute_force(spark, block_rows, copies):
-    queries, q = random_factors(spark, 60, 1)
-    items, m = random_factors(spark, 90, 2, copies=copies)
+@pytest.mark.parametrize(
+    ("block_rows", "prune_from"), [(16_384, 16), (40, 16), (7, 99), (7, 2), (30, 2)]
+)
+@pytest.mark.parametrize("shape", ["plain", "copies", "clusters", "zeros"])
+@pytest.mark.parametrize("cosine", [False, True])
+def test_top_n_equals_brute_force(spark, block_rows, prune_from, shape, cosine):
+    queries, q = random_factors(spark, 60, 1, shape="clusters" if shape == "clusters" else "plain")
+    items, m = random_factors(spark, 90, 2, shape=shape)
     found = top_n(
-        queries.withColumnRenamed("id", "qid"), items.withColumnRenamed("id", "iid"), 5, "qid", "iid",
+        queries.withColumnRenamed("id", "qid"),
+        items.withColumnRenamed("id", "iid"),
+        5,
+        "qid",
+        "iid",
+        cosine=cosine,
         block_rows=block_rows,
+        prune_from=prune_from,
+    )
+    rows = found.collect()
+    if cosine:
+        q = q / np.linalg.norm(q, axis=1, keepdims=True)
+        m = m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-30)
+    scores = q @ m.T
+    best = np.array([np.lexsort((np.arange(len(s)), -np.round(s, 9)))[:5] for s in scores])
+    assert len(rows) == best.size
+    assert all(r.iid == best[r.qid, r["rank"] - 1] for r in rows)
+    assert all(r.score == pytest.approx(scores[r.qid, r.iid], abs=1e-9) for r in rows)
+
+
+def test_regions_rule_out_far_clusters(spark):
+    items, _ = random_factors(spark, 400, 5, shape="clusters")
+    located = regions.locate(items, "features", pivots := regions.pick_pivots(items, "id", "features", 16), True)
+    known = regions.describe_regions(located)
+    assert sum(r.rows for r in known) == 400
+    asked = regions.reachable(
+        located.withColumn("_bar", F.lit(0.98)), "features", pivots, known, cosine=True
     )
-    mine = {(r.qid, r["rank"]): (r.iid, round(r.score, 6)) for r in found.collect()}
-    expected = {}
-    for i, scores in enumerate(q @ m.T):
-        order = np.lexsort((np.arange(len(scores)), -np.round(scores, 9)))[:5]
-        for rank, at in enumerate(order, 1):
-            expected[i, rank] = (int(at), round(float(scores[at]), 6))
-    assert mine == expected
+    asked_regions = asked.agg(F.avg(F.size("_regions"))).first()[0]
+    assert asked_regions < len(known) / 2
 
 
 def test_top_n_cosine_skips_the_query(spark):
