@@ -20,7 +20,6 @@ from ratingloom.operators import (
     profile,
     ranking_metrics,
     recommending,
-    regions,
     splitting,
     thresholds,
 )
@@ -350,28 +349,23 @@ def test_vector_functions(spark):
 
 
 def random_factors(spark, rows, seed, dim=6, shape="plain"):
-    """Random vectors; "copies" repeats one in half the rows, "clusters" has few directions."""
+    """Random vectors; "copies" repeats one in half the rows, "zeros" has zero vectors."""
     draw = np.random.default_rng(seed)
     matrix = draw.normal(size=(rows, dim))
     if shape == "copies":
         matrix[rows // 2 :] = matrix[0]
-    if shape == "clusters":
-        centres = np.random.default_rng(99).normal(size=(8, dim)) * 3
-        matrix = centres[draw.integers(8, size=rows)] + matrix * 0.05
     if shape == "zeros":
-        matrix[:: 3] = 0
+        matrix[::3] = 0
     matrix = matrix.astype(np.float32)
     data = [(int(i), [float(x) for x in v]) for i, v in enumerate(matrix)]
     return spark.createDataFrame(data, "id int, features array<float>"), matrix.astype(np.float64)
 
 
-@pytest.mark.parametrize(
-    ("block_rows", "prune_from"), [(16_384, 16), (40, 16), (7, 99), (7, 2), (30, 2)]
-)
-@pytest.mark.parametrize("shape", ["plain", "copies", "clusters", "zeros"])
+@pytest.mark.parametrize("block_rows", [16_384, 40, 7])
+@pytest.mark.parametrize("shape", ["plain", "copies", "zeros"])
 @pytest.mark.parametrize("cosine", [False, True])
-def test_top_n_equals_brute_force(spark, block_rows, prune_from, shape, cosine):
-    queries, q = random_factors(spark, 60, 1, shape="clusters" if shape == "clusters" else "plain")
+def test_top_n_equals_brute_force(spark, block_rows, shape, cosine):
+    queries, q = random_factors(spark, 60, 1)
     items, m = random_factors(spark, 90, 2, shape=shape)
     found = top_n(
         queries.withColumnRenamed("id", "qid"),
@@ -381,7 +375,6 @@ def test_top_n_equals_brute_force(spark, block_rows, prune_from, shape, cosine):
         "iid",
         cosine=cosine,
         block_rows=block_rows,
-        prune_from=prune_from,
     )
     rows = found.collect()
     if cosine:
@@ -394,18 +387,6 @@ def test_top_n_equals_brute_force(spark, block_rows, prune_from, shape, cosine):
     assert all(r.score == pytest.approx(scores[r.qid, r.iid], abs=1e-9) for r in rows)
 
 
-def test_regions_rule_out_far_clusters(spark):
-    items, _ = random_factors(spark, 400, 5, shape="clusters")
-    located = regions.locate(items, "features", pivots := regions.pick_pivots(items, "id", "features", 16), True)
-    known = regions.describe_regions(located)
-    assert sum(r.rows for r in known) == 400
-    asked = regions.reachable(
-        located.withColumn("_bar", F.lit(0.98)), "features", pivots, known, cosine=True
-    )
-    asked_regions = asked.agg(F.avg(F.size("_regions"))).first()[0]
-    assert asked_regions < len(known) / 2
-
-
 def test_top_n_cosine_skips_the_query(spark):
     items, m = random_factors(spark, 50, 3)
     queries = items.withColumnRenamed("id", "qid").withColumn("tag", F.lit("kept"))
