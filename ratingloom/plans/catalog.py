@@ -24,8 +24,9 @@ from ratingloom.operators import (
 from ratingloom.operators.nearest import top_n
 from ratingloom.plans import inputs
 from ratingloom.plans.bias_model import RatingSums
+from ratingloom.plans.etl import preprocess_reviews
 from ratingloom.scratch import materialize, scratch_path
-from ratingloom.sources import experiments, reviews
+from ratingloom.sources import experiments, models, reviews, tables
 from ratingloom.sources.metadata import read_metadata
 from ratingloom.streaming import feedback
 
@@ -58,6 +59,9 @@ item_map AS (
 indexed AS (
   SELECT user_idx, item_idx, rating FROM kept JOIN user_map USING (user_id) JOIN item_map USING (item_id))"""
 
+_POPULAR = """SELECT item_idx, count(*) AS count_ratings, round(avg(rating), 6) AS avg_rating
+  FROM indexed GROUP BY item_idx"""
+
 _PAIRS = """
 pairs AS (
   SELECT CAST(o_custkey AS INTEGER) AS user_idx, CAST(l_partkey AS INTEGER) AS item_idx,
@@ -223,6 +227,26 @@ def interactions_indexed(spark, folder):
     return _indexed(spark, folder).interactions
 
 
+@query(
+    "etl_job",
+    f"""WITH {_MAPS}, popular AS ({_POPULAR})
+    SELECT user_idx, user_id, item_idx, item_id, rating, count_ratings, avg_rating
+    FROM kept JOIN user_map USING (user_id) JOIN item_map USING (item_id) JOIN popular USING (item_idx)""",
+)
+def etl_job(spark, folder):
+    """The whole job on stored reviews; its four tables are joined back together."""
+    source, out = scratch_path(spark, "reviews") + ".parquet", scratch_path(spark, "tables")
+    inputs.ratings(spark, folder).write.parquet(source)
+    preprocess_reviews(spark, source, out, MINIMUM)
+    popular = tables.read_table(spark, out, tables.POPULAR_ITEMS)
+    return (
+        tables.read_table(spark, out, tables.INTERACTIONS)
+        .join(tables.read_table(spark, out, tables.USER_MAP), "user_idx")
+        .join(tables.read_table(spark, out, tables.ITEM_MAP), "item_idx")
+        .join(popular.select("item_idx", "count_ratings", *_six("avg_rating")), "item_idx")
+    )
+
+
 @query(
     "encode_known_ids",
     f"""WITH {_MAPS}
@@ -249,10 +273,6 @@ def user_preview(spark, folder):
     )
 
 
-_POPULAR = """SELECT item_idx, count(*) AS count_ratings, round(avg(rating), 6) AS avg_rating
-  FROM indexed GROUP BY item_idx"""
-
-
 @query("popular_items", f"WITH {_MAPS} {_POPULAR}")
 def popular_items(spark, folder):
     popular = popularity.compute_popularity(_indexed(spark, folder).interactions)
@@ -687,6 +707,32 @@ def als_predict(spark, folder):
     return factor_models.predict(factor_models.fit_als(train, **_ALS), validation)
 
 
+@query(
+    "als_normal_equations",
+    f"""WITH {_PAIRS}
+    SELECT user_idx, count(*) AS num_ratings, true AS solved FROM pairs GROUP BY user_idx""",
+)
+def als_normal_equations(spark, folder):
+    """A saved and reloaded fit, checked: users' factors zero the gradient of their loss."""
+    pairs = materialize(inputs.rated_pairs(spark, folder), "pairs")
+    fitted = factor_models.fit_als(pairs, regParam=0.1, **_ALS)
+    model = models.load_model(models.save_model(fitted, scratch_path(spark, "als-model")))
+    users = model.userFactors.select(F.col("id").alias("user_idx"), F.col("features").alias("p"))
+    items = model.itemFactors.select(F.col("id").alias("item_idx"), F.col("features").alias("q"))
+    error = vec.dot(F.col("p"), F.col("q")) - F.col("rating")
+    rows = pairs.join(items, "item_idx").join(users, "user_idx").withColumn("error", error)
+    axes = range(_ALS["rank"])
+    sums = rows.groupBy("user_idx").agg(
+        F.count("*").alias("num_ratings"),
+        *[F.sum(F.col("error") * F.col("q")[axis]).alias(f"pull{axis}") for axis in axes],
+    )
+    # Per rating, so that single-precision factors leave the same trace for all users.
+    gradient = [F.col(f"pull{x}") / F.col("num_ratings") + 0.1 * F.col("p")[x] for x in axes]
+    return sums.join(users, "user_idx").select(
+        "user_idx", "num_ratings", (F.greatest(*map(F.abs, gradient)) < 1e-4).alias("solved")
+    )
+
+
 @query("als_recommend")
 def als_recommend(spark, folder):
     pairs = materialize(inputs.rated_pairs(spark, folder), "pairs")
