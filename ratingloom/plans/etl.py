@@ -16,7 +16,7 @@ from ratingloom.operators.thresholds import min_interactions
 from ratingloom.scratch import materialize, scratch_tables
 from ratingloom.session import open_session
 from ratingloom.sources import tables
-from ratingloom.sources.reviews import read_reviews
+from ratingloom.sources.reviews import detect_format, read_reviews
 
 
 def preprocess_reviews(
@@ -29,11 +29,14 @@ def preprocess_reviews(
 ) -> dict[str, str]:
     """Clean, threshold, index and write; returns the written paths.
 
-    Text is parsed once: the clean rows go to a scratch table, as do the rows
-    that pass the thresholds, because several aggregates and joins read each.
+    Several aggregates and joins read the clean rows and the rows that pass the
+    thresholds, so both are stored; text is parsed once.
     """
+    fmt = fmt or detect_format(input_path)
     with scratch_tables(spark):
-        clean = materialize(read_reviews(spark, input_path, fmt, columns), "clean")
+        clean = read_reviews(spark, input_path, fmt, columns)
+        if fmt != "parquet":
+            clean = materialize(clean, "clean")
         kept = materialize(min_interactions(clean, minimum), "kept")
         indexed = index_ids(kept)
         written = {

@@ -16,9 +16,12 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--source", required=True)
     parser.add_argument("--target", required=True)
     parser.add_argument("--checkpoint", required=True)
+    parser.add_argument("--files-per-batch", type=int)
     args = parser.parse_args(argv)
     spark = open_session("ratingloom-feedback")
-    ingest_feedback(spark, args.source, args.target, args.checkpoint).awaitTermination()
+    ingest_feedback(
+        spark, args.source, args.target, args.checkpoint, args.files_per_batch
+    ).awaitTermination()
 
 
 if __name__ == "__main__":

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratingloom.operators.cleaning import ALIASES, clean_ratings
+from ratingloom.scratch import materialize
 
 # File endings per format; anything else is comma separated.
 ENDINGS: dict[str, tuple[str, ...]] = {
@@ -62,10 +63,11 @@ def read_reviews(
     """Clean (user_id string, item_id string, rating double) rows of a file or folder.
 
     ``columns`` names the source column per field.  Without it the first
-    accepted alias is taken, which for JSON lines costs one counting pass.
+    accepted alias is taken.  Which aliases JSON lines use shows only in the
+    lines, so these are parsed once into a scratch table that answers it.
     """
     fmt = fmt or detect_format(path)
     raw = read_raw(spark, path, fmt)
     if fmt == "json" and columns is None:
-        raw = _used_columns(raw)
+        raw = _used_columns(materialize(raw, "raw-reviews"))
     return clean_ratings(raw, columns)

@@ -493,9 +493,10 @@ def test_feedback_is_ingested_once(spark, tmp_path):
     clicked = received.where(F.try_variant_get("payload", "$.clicked", "boolean"))
     assert clicked.select(F.variant_get("payload", "$.user_id", "string")).first()[0] == "u1"
     assert [r.line for r in feedback.read_quarantine(spark, target).collect()] == ["bad"]
-    (tmp_path / "in" / "2.jsonl").write_text("[5]\n")
-    feedback.ingest_feedback(spark, source, target, state).awaitTermination()
-    assert feedback.read_feedback(spark, target).count() == 3
+    for name in ("2.jsonl", "3.jsonl"):
+        (tmp_path / "in" / name).write_text("[5]\n")
+    feedback.ingest_feedback(spark, source, target, state, files_per_batch=1).awaitTermination()
+    assert feedback.read_feedback(spark, target).count() == 4
 
 
 # -- scratch -------------------------------------------------------------------
