@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.operators.nearest import top_n
-from ratingloom.scratch import shared_folder
+from ratingloom.scratch import materialize, shared_folder
 
 # Ratings a factor block should hold, and the most it may hold once there are
 # _MANY_BLOCKS of them: the fit exchanges a message per pair of blocks.
@@ -65,7 +65,7 @@ def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
 
 def recommend_for_users(model: ALSModel, users: DataFrame, n: int = 10) -> DataFrame:
     """(user_idx, rank, item_idx, score) for the requested ``user_idx`` values."""
-    wanted = users.select("user_idx").distinct()
     vectors = model.userFactors.select(F.col("id").alias("user_idx"), "features")
     items = model.itemFactors.select(F.col("id").alias("item_idx"), "features")
-    return top_n(vectors.join(wanted, "user_idx", "left_semi"), items, n, "user_idx", "item_idx")
+    wanted = vectors.join(users.select("user_idx").distinct(), "user_idx", "left_semi")
+    return top_n(materialize(wanted, "wanted-users"), items, n, "user_idx", "item_idx")

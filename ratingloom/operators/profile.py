@@ -86,7 +86,7 @@ def rating_profile(df: DataFrame) -> DataFrame:
         ((_at_rank(low) + _at_rank(high)) / 2).alias("median")
     )
     return placed.agg(
-        F.sum("times").alias("count"),
+        F.coalesce(F.sum("times"), F.lit(0)).alias("count"),
         (F.sum(F.col("rating") * F.col("times")) / F.sum("times")).alias("mean"),
         F.min("rating").alias("min"),
         F.max("rating").alias("max"),

@@ -320,6 +320,33 @@ def test_worked_metrics(worked_predictions):
     assert ranking_metrics.evaluate(worked_predictions, 2).first()["rmse"] == pytest.approx(error)
 
 
+@pytest.mark.parametrize("k", [1, 3, 10])
+def test_metrics_equal_brute_force_with_a_hot_user(spark, k):
+    draw = random.Random(k)
+    users = [0] * 200 + [draw.randrange(1, 40) for _ in range(400)]
+    rows = [
+        (u, i, float(draw.randrange(1, 6)), draw.choice([0.1, 0.2, 0.3, 0.4]))
+        for i, u in enumerate(users)
+    ]
+    df = spark.createDataFrame(
+        rows, "user_idx int, item_idx int, rating double, prediction double"
+    ).repartition(5)
+    precision, recall, ndcg = [], [], []
+    for user in set(users):
+        mine = sorted((r for r in rows if r[0] == user), key=lambda r: (-r[3], r[1]))
+        rel = [int(r[2] >= 4) for r in mine]
+        gain = lambda flags: sum(f / math.log2(at + 2) for at, f in enumerate(flags[:k]))
+        precision.append(sum(rel[:k]) / len(rel[:k]))
+        if sum(rel):
+            recall.append(sum(rel[:k]) / sum(rel))
+        ideal = gain(sorted(rel, reverse=True))
+        ndcg.append(gain(rel) / ideal if ideal else 0.0)
+    found = ranking_metrics.evaluate(df, k).first()
+    assert found.precision_at_k == pytest.approx(sum(precision) / len(precision))
+    assert found.recall_at_k == pytest.approx(sum(recall) / len(recall))
+    assert found.ndcg_at_k == pytest.approx(sum(ndcg) / len(ndcg))
+
+
 def test_metrics_of_nothing(worked_predictions):
     nothing = worked_predictions.limit(0)
     assert ranking_metrics.precision_at_k(nothing, 2) == 0.0
@@ -477,6 +504,18 @@ def test_item_lookup(spark, tmp_path):
     ]
 
 
+def test_first_line_wins_across_files_and_splits(spark, tmp_path):
+    for name in ("b.json", "a.json"):
+        lines = [json.dumps({"asin": f"K{i % 20}", "title": f"{name} {i}"}) for i in range(200)]
+        (tmp_path / name).write_text("\n".join(lines))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    try:
+        found = look_up_items(spark, str(tmp_path), [f"K{i}" for i in range(20)]).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r.title for r in found] == [f"a.json {i}" for i in range(20)]
+
+
 def test_key_list_keeps_first_places(spark):
     rows = item_details.key_list(spark, ["b", "a", "b", "c"]).orderBy("ordinal").collect()
     assert [r.key for r in rows] == ["b", "a", "c"]
