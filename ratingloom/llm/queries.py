@@ -6,13 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.llm import language_id
+from ratingloom.llm import jaccard, language_id, passages
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """Every passage of 50 words or more that an earlier place holds too."""
+    return passages.repeated_passages(_table(spark, folder, "documents"))
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, learned from two thirds of the labelled ones."""
     docs = _table(spark, folder, "documents")
@@ -22,8 +27,44 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
 
 
+def op9_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its shingle count and its near-duplicate component."""
+    return jaccard.similar_documents(_table(spark, folder, "documents"))
+
+
 QUERIES = {
+    "op2_passages": op2_passages,
     "op5_language_id": op5_language_id,
+    "op9_jaccard": op9_jaccard,
 }
 
-ORACLES: dict[str, str] = {}
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES: dict[str, str] = {
+    "op9_jaccard": f"""
+        WITH RECURSIVE split AS (
+            SELECT doc_id,
+                   regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS ws
+            FROM documents),
+        grams AS (
+            SELECT DISTINCT doc_id,
+                   CASE WHEN len(ws) >= 3 THEN ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]
+                        ELSE array_to_string(ws, ' ') END AS gram
+            FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 2))) AS i FROM split WHERE len(ws) > 0)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c
+            FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+        links AS (
+            SELECT u, v FROM common JOIN sizes x ON u = x.doc_id JOIN sizes y ON v = y.doc_id
+            WHERE 100 * c >= 90 * (x.n + y.n - c)),
+        reach AS (
+            SELECT doc_id AS node, doc_id AS other FROM documents
+            UNION
+            SELECT r.node, e.v FROM reach r
+            JOIN (SELECT u, v FROM links UNION ALL SELECT v, u FROM links) e ON r.other = e.u)
+        SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id
+        FROM documents d
+        JOIN (SELECT node, min(other) AS component_id FROM reach GROUP BY node) r ON r.node = d.doc_id
+        LEFT JOIN sizes s ON s.doc_id = d.doc_id""",
+}
