@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Characters of text that one piece of work holds at once, unless one text alone is longer.
-PIECE_CHARS = 4_000_000
+PIECE_CHARS = 2_000_000
 
 
 def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_CHARS) -> Iterator[pa.RecordBatch]:

@@ -238,7 +238,8 @@ def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
 
     keys = named.select("doc_id", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.min("doc_id").alias("block"), F.max("doc_id").alias("last")).where("block < last").drop("last")
-    members = keys.join(shared, "key").select("block", "doc_id").distinct()
+    # Both sides grow with the documents, so the joins of keys and texts are the same at every size.
+    members = keys.join(shared.hint("merge"), "key").select("block", "doc_id").distinct()
     # A copy's first document stands for it, as a member and as a block's name.
     for column in ("doc_id", "block"):
         firsts = copies.select(F.col("doc_id").alias(column), F.col("first").alias("_first"))
@@ -247,7 +248,7 @@ def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
     members = materialize(members.where("doc_id <> block"), "row-blocks")
 
     needed = members.select("doc_id").union(members.select(F.col("block").alias("doc_id"))).distinct()
-    sets = materialize(_sets(docs.join(needed, "doc_id", "left_semi"), words), "row-sets")
+    sets = materialize(_sets(docs.join(needed.hint("merge"), "doc_id", "left_semi"), words), "row-sets")
     sizes = sets.groupBy("doc_id").agg(F.max("size").alias("size"))
 
     # The smallest document of each block times its members.
