@@ -6,18 +6,32 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.llm import jaccard, language_id, passages
+from ratingloom.llm import bpe, jaccard, language_id, mixing, passages, quality_rules, sharding
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Shards of op7, and the most epochs of a source in op10.
+SHARDS, REPETITION = 24, 2.0
+
+
+def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Base counts and the verdict of the robust distance on every document."""
+    return quality_rules.judge(_table(spark, folder, "documents"))
+
+
 def op2_passages(spark: SparkSession, folder: str) -> DataFrame:
     """Every passage of 50 words or more that an earlier place holds too."""
     return passages.repeated_passages(_table(spark, folder, "documents"))
 
 
+def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of every document's ids and of the text they decode to."""
+    return bpe.round_trips(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, learned from two thirds of the labelled ones."""
     docs = _table(spark, folder, "documents")
@@ -27,15 +41,32 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
 
 
+def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's shard and slot; shards differ by one row at most."""
+    text = F.coalesce("text", F.lit(""))
+    docs = _table(spark, folder, "documents").select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+    dealt = sharding.into_shards(docs, SHARDS)
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """The temperature mixture in which every source is used whole and none more than twice."""
+    return mixing.mixture(_table(spark, folder, "documents"), repetition=REPETITION)
+
+
 def op9_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its shingle count and its near-duplicate component."""
     return jaccard.similar_documents(_table(spark, folder, "documents"))
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_passages": op2_passages,
+    "op3_bpe": op3_bpe,
     "op5_language_id": op5_language_id,
+    "op7_sharding": op7_sharding,
     "op9_jaccard": op9_jaccard,
+    "op10_mixing": op10_mixing,
 }
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
