@@ -234,10 +234,13 @@ def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
     # Equal sets: every copy hangs on its smallest document.
     same = ["n_shingles", "print1", "print2"]
     groups = named.groupBy(same).agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    # Stored before the join, whose other side can then be split where a key is hot.
+    groups = materialize(groups, "set-groups")
     copies = materialize(named.select("doc_id", *same).join(groups, same).where("doc_id > first").select("doc_id", "first").distinct(), "equal-sets")
 
     keys = named.select("doc_id", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.min("doc_id").alias("block"), F.max("doc_id").alias("last")).where("block < last").drop("last")
+    shared = materialize(shared, "shared-keys")
     # Both sides grow with the documents, so the joins of keys and texts are the same at every size.
     members = keys.join(shared.hint("merge"), "key").select("block", "doc_id").distinct()
     # A copy's first document stands for it, as a member and as a block's name.
