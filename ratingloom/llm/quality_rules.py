@@ -38,10 +38,10 @@ KEPT_SHARE = 0.75
 STEPS = 12
 # Fixed values for five statistics and three quarters: the factor that makes the
 # covariance of the nearest three quarters of a normal sample consistent, and the
-# chi-squared quantile at 1 - 1e-6 beyond which a vector is rejected.
-CONSISTENCY, CUTOFF = 1.413, 35.9
+# chi-squared quantile at 1 - 1e-5 beyond which a vector is rejected.
+CONSISTENCY, CUTOFF = 1.413, 30.86
 #: Per statistic, the least standard deviation that a group is taken to have.
-STATISTICS = {"word_length": 0.12, "symbols": 0.4, "capitals": 0.35, "digits": 0.4, "repeats": 0.6}
+STATISTICS = {"word_length": 0.12, "symbols": 0.4, "capitals": 0.35, "digits": 0.7, "repeats": 0.6}
 
 _UNIT = 1000  # vectors are held in thousandths
 _SPACES = " \t\n\x0b\f\r"

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.llm import bpe, jaccard, language_id, mixing, passages, quality_rules, sharding
+from ratingloom.llm import bpe, embedding_dups, jaccard, language_id, mixing, ngram_trie, passages, perplexity, quality_rules, sharding
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -32,6 +32,11 @@ def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trips(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Base and bigram log probability of every document, learned from six sevenths of them."""
+    return ngram_trie.score_texts(_table(spark, folder, "documents"), language_id.fold(F.col("doc_id"), 7) == 2)
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every document, learned from two thirds of the labelled ones."""
     docs = _table(spark, folder, "documents")
@@ -41,6 +46,11 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model).drop("text")
 
 
+def op6_embedding_dups(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector with its near duplicates' number, their component, and whether it stays."""
+    return embedding_dups.near_duplicates(_table(spark, folder, "embeddings"))
+
+
 def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's shard and slot; shards differ by one row at most."""
     text = F.coalesce("text", F.lit(""))
@@ -54,6 +64,12 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixture(_table(spark, folder, "documents"), repetition=REPETITION)
 
 
+def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Perplexity of every document, and whether it is within its language's limit."""
+    trusted = _table(spark, folder, "labels").where("quality = 1").select("doc_id")
+    return perplexity.classify(_table(spark, folder, "documents"), trusted)
+
+
 def op9_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its shingle count and its near-duplicate component."""
     return jaccard.similar_documents(_table(spark, folder, "documents"))
@@ -63,8 +79,11 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_passages": op2_passages,
     "op3_bpe": op3_bpe,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_language_id": op5_language_id,
+    "op6_embedding_dups": op6_embedding_dups,
     "op7_sharding": op7_sharding,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_jaccard": op9_jaccard,
     "op10_mixing": op10_mixing,
 }
@@ -98,4 +117,19 @@ ORACLES: dict[str, str] = {
         FROM documents d
         JOIN (SELECT node, min(other) AS component_id FROM reach GROUP BY node) r ON r.node = d.doc_id
         LEFT JOIN sizes s ON s.doc_id = d.doc_id""",
+    "op6_embedding_dups": """
+        WITH RECURSIVE unit AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+        links AS (
+            SELECT a.vec_id AS u, b.vec_id AS v FROM unit a JOIN unit b ON a.vec_id <> b.vec_id
+            WHERE list_dot_product(a.e, b.e) >= 0.95 * sqrt(list_dot_product(a.e, a.e) * list_dot_product(b.e, b.e))
+              AND list_dot_product(a.e, a.e) > 0 AND list_dot_product(b.e, b.e) > 0),
+        counts AS (SELECT u, count(*) AS n FROM links GROUP BY u),
+        reach AS (
+            SELECT vec_id AS node, vec_id AS other FROM unit
+            UNION
+            SELECT r.node, l.v FROM reach r JOIN links l ON r.other = l.u)
+        SELECT e.vec_id, coalesce(c.n, 0) AS n_links, r.component_id, r.component_id = e.vec_id AS kept
+        FROM embeddings e
+        JOIN (SELECT node, min(other) AS component_id FROM reach GROUP BY node) r ON r.node = e.vec_id
+        LEFT JOIN counts c ON c.u = e.vec_id""",
 }

@@ -1,0 +1,64 @@
+import numpy as np
+import pytest
+
+from ratingloom.llm import embedding_dups as e
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def brute_force(values, cosine=0.95):
+    ids = [i for i, v in values]
+    sound = [v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v) for _, v in values]
+    n = len(values)
+    links = np.zeros((n, n), bool)
+    for a in range(n):
+        for b in range(n):
+            if a != b and sound[a] and sound[b] and len(values[a][1]) == len(values[b][1]):
+                x, y = (np.array(values[i][1], np.float32).astype(float) for i in (a, b))
+                links[a, b] = x @ y / np.sqrt((x @ x) * (y @ y)) >= cosine
+    label = list(range(n))
+    changed = True
+    while changed:
+        changed = False
+        for a in range(n):
+            low = min([label[a], *[label[b] for b in np.flatnonzero(links[a])]], key=lambda k: ids[k])
+            if ids[low] < ids[label[a]]:
+                label[a], changed = low, True
+    return sorted((ids[a], int(links[a].sum()), ids[label[a]], ids[a] == ids[label[a]]) for a in range(n))
+
+
+def clusters(seed, dims, sizes, noise):
+    rng = np.random.default_rng(seed)
+    values = []
+    for size in sizes:
+        centre = rng.standard_normal(dims)
+        values += [centre + noise * rng.standard_normal(dims) for _ in range(size)]
+    order = rng.permutation(len(values))
+    return [(int(i), values[j].astype(np.float32).tolist()) for i, j in enumerate(order)]
+
+
+@pytest.mark.parametrize("seed,sizes,noise", [(1, [1] * 300 + [2] * 20 + [40, 3], 0.12), (2, [300, 30, 1, 1], 0.2), (3, [600], 0.22)])
+def test_links_like_brute_force(spark, seed, sizes, noise):
+    values = clusters(seed, 24, sizes, noise)
+    got = sorted(map(tuple, e.near_duplicates(spark.createDataFrame(values, SCHEMA)).collect()))
+    want = brute_force(values)
+    true, found = sum(r[1] for r in want), sum(r[1] for r in got)
+    assert found >= 0.97 * true and all(g[1] <= w[1] for g, w in zip(got, want))
+    assert sum(g == w for g, w in zip(got, want)) >= 0.97 * len(want)
+
+
+def test_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    values = [(1, [1.0, 0.0]), (2, [2.0, 0.01]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [None, 1.0]), (8, []), (9, [1.0, 0.0, 0.0]), (10, [1.0, 0.0])]
+    values += [(11, [1e-30, 0.0]), (12, [3e38, 1e37])]
+    got = sorted(map(tuple, e.near_duplicates(spark.createDataFrame(values, SCHEMA)).collect()))
+    assert got == brute_force(values)
+
+
+def test_repeated_rows_null_ids_and_no_rows(spark):
+    values = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (None, [1.0, 0.0])]
+    got = sorted(map(tuple, e.near_duplicates(spark.createDataFrame(values, SCHEMA)).collect()), key=str)
+    assert got == sorted([(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (None, 0, None, True)], key=str)
+    assert e.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+    extra = spark.createDataFrame([(1, [1.0, 0.0], 3, 4)], "vec_id long, embedding array<float>, id int, twins int")
+    assert e.near_duplicates(extra).count() == 1
