@@ -12,6 +12,13 @@ import pyarrow.compute as pc
 PIECE_CHARS = 2_000_000
 
 
+def unused(names: list[str], wanted: str) -> str:
+    """``wanted``, with as many underscores before it as make it differ from ``names``."""
+    while wanted in names:
+        wanted = f"_{wanted}"
+    return wanted
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_CHARS) -> Iterator[pa.RecordBatch]:
     """The same rows in slices whose ``column`` holds about ``limit`` bytes at most."""
     for batch in batches:

@@ -267,16 +267,16 @@ def fit(labelled: DataFrame, vocabulary: list[str], fit_documents: int = FIT_DOC
     return LanguageModel(vocabulary, languages, np.log([shares[x] / total for x in languages]), probabilities)
 
 
-def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score; columns of these names are replaced."""
-    kept = docs.drop("lang_pred", "score")
+def identify(docs: DataFrame, model: LanguageModel, label: str = "lang_pred", score: str = "score") -> DataFrame:
+    """``docs`` with the language of its text and the posterior; columns of these names are replaced."""
+    kept = docs.drop(label, score)
     carrier = docs.sparkSession.sparkContext.broadcast(model)
-    names = [*kept.columns, "lang_pred", "score"]
+    names = [*kept.columns, label, score]
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, text):
-            labels, scores = carrier.value.predict(batch.column(text).to_pylist())
+        for batch in pieces(batches, "text"):
+            labels, scores = carrier.value.predict(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(labels, pa.string()), pa.array(scores)], names)
 
-    schema = kept.limit(0).withColumns({"lang_pred": F.lit("").cast("string"), "score": F.lit(0.0)}).schema
+    schema = kept.limit(0).withColumns({label: F.lit("").cast("string"), score: F.lit(0.0)}).schema
     return kept.mapInArrow(predict, schema)

@@ -137,9 +137,9 @@ def mixture(docs: DataFrame, entropy: float | None = None, repetition: float | N
 def repeated(docs: DataFrame, entropy: float | None = None, repetition: float | None = None, budget: int | None = None) -> DataFrame:
     """``docs`` with each row as often as the mixture holds it (not at all, if it does not)."""
     planned = deal(units(docs), entropy, repetition, budget, BLOCK_TOKENS).where("copies > 0")
-    planned = planned.select(*[F.col(c).alias(f"_{c}") for c in _KEY], F.col("copies").alias("_copies"))
-    keyed = docs.withColumn("_tokens", token_count(F.col("text"))).withColumn("_origin", F.col("source").cast("string"))
-    pairs = (("doc_id", "_doc_id"), ("_origin", "_source"), ("_tokens", "_n_tokens"))
-    same = reduce(lambda a, b: a & b, [F.col(a).eqNullSafe(F.col(b)) for a, b in pairs])
-    copied = keyed.join(planned, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return copied.select(docs.columns)
+    planned = planned.select(*[F.col(c).alias(f"_{c}") for c in _KEY], "copies")
+    # The row travels whole, so that no column of it can meet one of the plan.
+    keyed = docs.select(F.struct("*").alias("row"), "doc_id", F.col("source").cast("string").alias("source"), token_count(F.col("text")).alias("n_tokens"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _KEY])
+    copied = keyed.join(planned, same).select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return copied.select("row.*")
