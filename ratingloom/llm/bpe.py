@@ -20,6 +20,7 @@ import heapq
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -107,7 +108,11 @@ def encode_together(vocabulary: Vocabulary, words: list[bytes]) -> tuple[np.ndar
         _, pair = heapq.heappop(active)
         left, right = pair >> 32, pair & 0xFFFFFFFF
         merged = merges[pair][1]
-        for i in sorted(places.pop(pair)):
+        ahead = merged << 32
+        found = places.pop(pair)
+        if left == right:
+            found.sort()  # of overlapping occurrences the first one merges
+        for i in found:
             j = following[i]
             if symbols[i] != left or j < 0 or symbols[j] != right:
                 continue  # an earlier merge took one of the two
@@ -116,21 +121,21 @@ def encode_together(vocabulary: Vocabulary, words: list[bytes]) -> tuple[np.ndar
             following[i] = after
             if after >= 0:
                 before[after] = i
-                made = merged << 32 | symbols[after]
-                if made in merges:
-                    if made in places:
-                        places[made].append(i)
-                    else:
-                        places[made] = [i]
-                        heapq.heappush(active, (merges[made][0], made))
+                made = ahead | symbols[after]
+                known = places.get(made)
+                if known is not None:
+                    known.append(i)
+                elif made in merges:
+                    places[made] = [i]
+                    heapq.heappush(active, (merges[made][0], made))
             if previous >= 0:
                 made = symbols[previous] << 32 | merged
-                if made in merges:
-                    if made in places:
-                        places[made].append(previous)
-                    else:
-                        places[made] = [previous]
-                        heapq.heappush(active, (merges[made][0], made))
+                known = places.get(made)
+                if known is not None:
+                    known.append(previous)
+                elif made in merges:
+                    places[made] = [previous]
+                    heapq.heappush(active, (merges[made][0], made))
     final = np.array(symbols, np.int64)
     live = final >= 0
     return final[live].astype(np.uint32), np.bincount(owner[live], minlength=len(words))
@@ -149,8 +154,9 @@ class Encoder:
         """Encodings of parts not met before, in stretches."""
         for begin in range(0, len(parts), STRETCH):
             stretch = parts[begin : begin + STRETCH]
-            cut = [_WORD_PIECES.findall(part) for part in stretch]
-            distinct = list(dict.fromkeys(word for words in cut for word in words))
+            # Letters after at most one space are one word piece, which needs no pattern.
+            cut = [[part] if part.isascii() and part.lstrip(" ").isalpha() and not part.startswith("  ") else _WORD_PIECES.findall(part) for part in stretch]
+            distinct = list(dict.fromkeys(chain.from_iterable(cut)))
             ids, sizes = encode_together(self.vocabulary, [word.encode("utf-8", "surrogatepass") for word in distinct])
             data, ends = ids.astype("<u4").tobytes(), (np.cumsum(sizes) * 4).tolist()
             encoded = {word: data[a:b] for word, a, b in zip(distinct, [0, *ends], ends)}
