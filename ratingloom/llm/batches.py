@@ -48,3 +48,26 @@ def list_column(values: np.ndarray, lengths: np.ndarray) -> pa.ListArray:
     offsets = np.zeros(len(lengths) + 1, np.int32)
     np.cumsum(lengths, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+
+
+def grouped_tables(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.Table]:
+    """Runs of equal values in the given columns, of sorted batches."""
+    held: list[pa.RecordBatch] = []
+    current = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(c).to_numpy() for c in names]
+        changed = np.zeros(batch.num_rows, bool)
+        for c in columns:
+            changed[1:] |= c[1:] != c[:-1]
+        begins = [0, *np.flatnonzero(changed).tolist(), batch.num_rows]
+        for begin, end in zip(begins[:-1], begins[1:]):
+            name = tuple(c[begin] for c in columns)
+            if current is not None and name != current:
+                yield pa.Table.from_batches(held)
+                held = []
+            current = name
+            held.append(batch.slice(begin, end - begin))
+    if held:
+        yield pa.Table.from_batches(held)

@@ -86,7 +86,8 @@ class PieceTable:
         hashes = np.zeros(len(codes), np.uint64)
         rows = []
         for m in range(1, LONGEST_PIECE + 1):
-            hashes[: len(codes) - m + 1] = hashes[: len(codes) - m + 1] * _BASE + codes[m - 1 :]
+            whole = max(0, len(codes) - m + 1)
+            hashes[:whole] = hashes[:whole] * _BASE + codes[m - 1 :]
             inside = np.flatnonzero(left >= m)
             at = np.full(len(codes), self.size, np.int32)
             if self.size:

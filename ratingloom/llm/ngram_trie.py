@@ -31,10 +31,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratingloom.llm.batches import list_column, pieces, ranges
+from ratingloom.llm.batches import grouped_tables, list_column, pieces
 from ratingloom.llm.elias_fano import EliasFano
 from ratingloom.llm.words import mix, word_hashes
 from ratingloom.scratch import materialize
@@ -44,7 +45,7 @@ PRIOR = 200.0
 #: A word with one in so many tokens is spread over shards.
 HOT = 1000
 #: Shards per shuffle partition.
-SHARDS = 8
+SHARDS = 4
 #: Step of the quantised base-10 logarithms, and the lowest one held.
 STEP, LOWEST = 1 / 1024, -40.0
 
@@ -125,67 +126,111 @@ def _vocabulary(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(compute, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+_TOKENS = (
+    "shard int, train boolean, piece long, words array<long>, runs array<int>, previous array<int>, docs array<smallint>, "
+    "ids array<long>, held array<boolean>, sizes array<int>"
+)
+_SUMS = "piece long, docs array<smallint>, known array<int>, base array<double>, score array<double>, ids array<long>, held array<boolean>, sizes array<int>"
+
+
 def _occurrences(rows: DataFrame, hot: np.ndarray, shards: int) -> DataFrame:
-    """(shard, train, words, previous, rows): every token with the one before it."""
+    """Every token with the one before it, packed by shard; and a row per piece of documents.
+
+    A document is a number within its piece.  Tokens of a piece and shard are one
+    row: distinct words, their run lengths, then per occurrence the previous word
+    and the document.  The piece's own row (ids, held, sizes) rides along.
+    """
+    names = [field.split()[0] for field in _TOKENS.split(", ")]
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
-            word, counts = tokens(batch.column("text"))
-            before = np.empty_like(word)
-            before[1:] = word[:-1]
-            before[np.cumsum(counts) - counts] = _BEGIN
-            previous = (mix(before) >> np.uint64(32)).astype(np.uint32)
-            row = np.repeat(np.arange(len(counts)), counts)
-            train = batch.column("train").to_numpy(zero_copy_only=False).astype(np.int64)
-            spread = np.where(np.isin(word, hot), mix(word ^ previous.astype(np.uint64)), mix(word))
-            shard = (spread % np.uint64(shards)).astype(np.int64) * 2 + train[row]
-            order = np.lexsort((word, shard))
-            shard, word = shard[order], word[order]
-            begins = np.flatnonzero(np.diff(shard, prepend=-1))
-            lengths = np.diff(np.append(begins, len(shard)))
-            ids = batch.column("row").to_numpy()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array((shard[begins] // 2).astype(np.int32)),
-                    pa.array(shard[begins] % 2 == 1),
-                    list_column(word.view(np.int64), lengths),
-                    list_column(previous[order].view(np.int32), lengths),
-                    list_column(ids[row[order]], lengths),
-                ],
-                ["shard", "train", "words", "previous", "rows"],
-            )
-
-    return rows.mapInArrow(compute, "shard int, train boolean, words array<long>, previous array<int>, rows array<long>")
+        # Recomputed tasks read the same rows, so a piece keeps its number.
+        piece = TaskContext.get().partitionId() << 32
+        for large in pieces(batches, "text"):
+            for begin in range(0, large.num_rows, 30_000):
+                batch = large.slice(begin, 30_000)
+                word, counts = tokens(batch.column("text"))
+                before = np.empty_like(word)
+                before[1:] = word[:-1]
+                before[np.cumsum(counts) - counts] = _BEGIN
+                previous = (mix(before) >> np.uint64(32)).astype(np.uint32)
+                row = np.repeat(np.arange(len(counts)), counts)
+                held = batch.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+                spread = np.where(np.isin(word, hot), mix(word ^ previous.astype(np.uint64)), mix(word))
+                group = (spread % np.uint64(shards)).astype(np.int64) * 2 + ~held[row]
+                order = np.lexsort((word, group))
+                group, word = group[order], word[order]
+                new_group = np.diff(group, prepend=-1) != 0
+                new_run = new_group.copy()
+                new_run[1:] |= word[1:] != word[:-1]
+                begins, runs = np.flatnonzero(new_group), np.flatnonzero(new_run)
+                lengths = np.diff(np.append(begins, len(group)))
+                runs_per_row = np.diff(np.append(np.searchsorted(runs, begins), len(runs)))
+                n = len(begins)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array((group[begins] // 2).astype(np.int32)),
+                        pa.array(group[begins] % 2 == 1),
+                        pa.array(np.full(n, piece)),
+                        list_column(word[runs].view(np.int64), runs_per_row),
+                        list_column(np.diff(np.append(runs, len(word))).astype(np.int32), runs_per_row),
+                        list_column(previous[order].view(np.int32), lengths),
+                        list_column(row[order].astype(np.int16), lengths),
+                        pa.nulls(n, pa.list_(pa.int64())),
+                        pa.nulls(n, pa.list_(pa.bool_())),
+                        pa.nulls(n, pa.list_(pa.int32())),
+                    ],
+                    names,
+                )
+                ids = batch.column("doc_id").to_pylist()
+                own = [
+                    pa.array([piece % shards], pa.int32()),
+                    pa.array([True]),
+                    pa.array([piece]),
+                    *[pa.array([[]], pa.list_(kind)) for kind in (pa.int64(), pa.int32(), pa.int32(), pa.int16())],
+                    pa.array([ids], pa.list_(pa.int64())),
+                    pa.array([held.tolist()], pa.list_(pa.bool_())),
+                    pa.array([counts.tolist()], pa.list_(pa.int32())),
+                ]
+                yield pa.RecordBatch.from_arrays(own, names)
+                piece += 1
+
+    return rows.mapInArrow(compute, _TOKENS)
 
 
 def _scores(occurrences: DataFrame, hot: dict[int, int], total: int, vocabulary: int, prior: float) -> DataFrame:
-    """(row, known, base, score) per row and task, to be summed."""
+    """Sums over each shard's tokens, one row per piece of documents and task."""
     hot_words = np.array(sorted(w & 0xFFFFFFFFFFFFFFFF for w in hot), np.uint64)
     hot_counts = np.array([hot[int(np.uint64(w).view(np.int64))] for w in hot_words], np.int64)
+    names = [field.split()[0] for field in _SUMS.split(", ")]
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with tempfile.TemporaryDirectory() as folder:
             # The partition is spooled, so that its size is not bound by memory.
-            names = {"words": np.uint64, "previous": np.uint32, "rows": np.int64, "train": np.bool_}
-            files = {n: open(os.path.join(folder, f"{n}.bin"), "wb") for n in names}
+            kinds = {"words": np.uint64, "previous": np.uint32, "owners": np.int64, "train": np.bool_}
+            files = {n: open(os.path.join(folder, f"{n}.bin"), "wb") for n in kinds}
             size = 0
             for batch in batches:
-                lengths = np.diff(batch.column("words").offsets.to_numpy())
-                for n in ("words", "previous", "rows"):
-                    batch.column(n).flatten().to_numpy().tofile(files[n])
+                own = batch.filter(batch.column("ids").is_valid())
+                if own.num_rows:
+                    empty = [pa.nulls(own.num_rows, pa.list_(k)) for k in (pa.int16(), pa.int32(), pa.float64(), pa.float64())]
+                    yield pa.RecordBatch.from_arrays([own.column("piece"), *empty, *(own.column(c) for c in ("ids", "held", "sizes"))], names)
+                lengths = np.diff(batch.column("previous").offsets.to_numpy())
+                np.repeat(batch.column("words").flatten().to_numpy(), batch.column("runs").flatten().to_numpy()).tofile(files["words"])
+                batch.column("previous").flatten().to_numpy().tofile(files["previous"])
+                docs = batch.column("docs").flatten().to_numpy().astype(np.int64)
+                ((np.repeat(batch.column("piece").to_numpy(), lengths) << 15) | docs).tofile(files["owners"])
                 np.repeat(batch.column("train").to_numpy(zero_copy_only=False).astype(bool), lengths).tofile(files["train"])
                 size += int(lengths.sum())
             for file in files.values():
                 file.close()
             if not size:
                 return
-            word, previous, row, train = (np.memmap(os.path.join(folder, f"{n}.bin"), kind, "r") for n, kind in names.items())
+            word, previous, owner, train = (np.memmap(os.path.join(folder, f"{n}.bin"), kind, "r") for n, kind in kinds.items())
 
             words, at = np.unique(word[train], return_inverse=True)
             known = np.bincount(at, minlength=len(words)).astype(np.int64)
             spread = np.searchsorted(words, hot_words)
-            here = np.flatnonzero(np.append(words, 0)[np.minimum(spread, len(words))] == hot_words) if len(words) else []
-            here = [i for i in here if spread[i] < len(words)]
+            here = np.array([i for i, w in enumerate(spread) if w < len(words) and words[w] == hot_words[i]], np.int64)
             known[spread[here]] = hot_counts[here]
             pairs, times = np.unique((at.astype(np.uint64) << np.uint64(32)) | previous[train], return_counts=True)
             trie = Trie(folder, words, known, (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.uint32), times, total, vocabulary, prior)
@@ -195,9 +240,9 @@ def _scores(occurrences: DataFrame, hot: dict[int, int], total: int, vocabulary:
             asked, place = np.unique(word, return_inverse=True)
             index = trie.find_words(asked)
             count = np.where(index >= 0, trie.known[np.maximum(index, 0)] if len(words) else 0, 0)
-            # A hot word's count is known even where no training occurrence fell into this shard.
-            slot = np.minimum(np.searchsorted(hot_words, asked), max(0, len(hot_words) - 1))
             if len(hot_words):
+                # A hot word's count is known even where no training occurrence fell into this shard.
+                slot = np.minimum(np.searchsorted(hot_words, asked), len(hot_words) - 1)
                 count = np.where(hot_words[slot] == asked, hot_counts[slot], count)
             unseen = np.log10(prior * (count + 1.0) / (total + vocabulary + 1.0))
             numerator = _value(_quantise(unseen))[place]
@@ -207,45 +252,55 @@ def _scores(occurrences: DataFrame, hot: dict[int, int], total: int, vocabulary:
             # As the previous token of the next one, a word also brings its denominator.
             denominator = np.where(asked == _END, 0.0, np.log10(count + prior))[place]
             base = np.log10(count + 1.0)[place]
-            ids, owner = np.unique(row, return_inverse=True)
-            sums = [np.bincount(owner, x, len(ids)) for x in ((count > 0)[place].astype(float), base, numerator - denominator)]
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])], ["row", "known", "base", "score"])
+            owners, which = np.unique(owner, return_inverse=True)
+            sums = [np.bincount(which, x, len(owners)) for x in ((count > 0)[place].astype(float), base, numerator - denominator)]
+            piece = owners >> 15
+            begins = np.flatnonzero(np.diff(piece, prepend=-1))
+            lengths = np.diff(np.append(begins, len(owners)))
+            values = [(owners & 0x7FFF).astype(np.int16), sums[0].astype(np.int32), sums[1], sums[2]]
+            rest = [pa.nulls(len(begins), pa.list_(k)) for k in (pa.int64(), pa.bool_(), pa.int32())]
+            yield pa.RecordBatch.from_arrays([pa.array(piece[begins]), *(list_column(v, lengths) for v in values), *rest], names)
+
+    return occurrences.repartition("shard").mapInArrow(compute, _SUMS)
+
+
+def _by_document(sums: DataFrame, schema: str) -> DataFrame:
+    """doc_id, held_out, n_tokens, known, base, score of every document of every piece."""
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in grouped_tables(batches, ["piece"]):
+            sizes = table.column("sizes").combine_chunks()
+            own = sizes.drop_null().flatten().to_numpy()
+            docs = table.column("docs").combine_chunks().flatten().to_numpy()
+            known, base, score = (np.bincount(docs, table.column(c).combine_chunks().flatten().to_numpy(), len(own)) for c in ("known", "base", "score"))
+            first = [table.column(c).combine_chunks().drop_null().flatten() for c in ("ids", "held")]
+            columns = [*first, pa.array(own.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "known", "base", "score"])
 
-    parted = occurrences.repartition("shard")
-    return parted.mapInArrow(compute, "row long, known long, base double, score double")
+    return sums.repartition("piece").sortWithinPartitions("piece").mapInArrow(compute, schema)
 
 
 def score_texts(docs: DataFrame, held_out: Column, prior: float = PRIOR) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
     spark = docs.sparkSession
-    text = F.coalesce("text", F.lit(""))
-    keyed = docs.select("doc_id", held_out.alias("held_out"), text.alias("text"))
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
     counted = materialize(_vocabulary(keyed.where("NOT held_out")), "vocabulary")
     total, vocabulary = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     # At most HOT words can have one in HOT tokens.
     hot = {r["word"]: r["n"] for r in counted.where(F.col("n") * HOT >= F.lit(max(1, total))).collect()} if total else {}
-    begins = keyed.where("NOT held_out").count()
+    # Every training text has one end.
+    begins = counted.where(F.col("word") == int(_END)).agg(F.sum("n")).first()[0] or 0
 
-    row = F.xxhash64("doc_id", "text")
     shards = SHARDS * int(spark.conf.get("spark.sql.shuffle.partitions"))
     hot_words = np.array([w & 0xFFFFFFFFFFFFFFFF for w in hot], np.uint64)
-    rows = keyed.select(row.alias("row"), (~F.col("held_out")).alias("train"), "text")
-    parts = _scores(_occurrences(rows, hot_words, shards), hot, total, vocabulary, prior)
-    sums = parts.groupBy("row").agg(F.sum("known").alias("known"), F.sum("base").alias("base"), F.sum("score").alias("score"))
-
-    size = (F.coalesce(F.regexp_count("text", F.lit(r"[^ \x09-\x0D]+")), F.lit(0)) + 1).cast("long")
-    light = keyed.select("doc_id", "held_out", size.alias("n_tokens"), row.alias("row"))
-    # Equal rows share their sums.
-    twins = light.groupBy("doc_id", "held_out", "n_tokens", "row").agg(F.count("*").alias("twins"))
-    joined = twins.join(sums, "row").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("twins"))))
-    first = math.log10(begins + prior)
-    base = F.col("base") / F.col("twins") - F.col("n_tokens") * math.log10(total + vocabulary + 1.0)
-    return joined.select(
+    parts = _scores(_occurrences(keyed, hot_words, shards), hot, total, vocabulary, prior)
+    summed = _by_document(parts, "doc_id long, held_out boolean, n_tokens long, known long, base double, score double")
+    return summed.select(
         "doc_id",
         "held_out",
         "n_tokens",
-        (F.col("known") / F.col("twins")).cast("long").alias("n_known"),
+        F.col("known").alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
-        base.alias("base_score"),
-        F.round(F.col("score") / F.col("twins") - first, 6).alias("score"),
+        (F.col("base") - F.col("n_tokens") * math.log10(total + vocabulary + 1.0)).alias("base_score"),
+        F.round(F.col("score") - math.log10(begins + prior), 6).alias("score"),
     )
