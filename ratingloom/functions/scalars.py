@@ -41,17 +41,18 @@ def ratio_or_zero(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(0.0)
 
 
-def falls_below(share: float, *keys: Column, seed: int = 42) -> Column:
+def falls_below(share: float, *keys: Column, purpose: str, seed: int = 42) -> Column:
     """True for a ``share`` of all key tuples, decided by their md5 alone.
 
     Hex digests compare like the numbers they spell, so a share is one string
-    comparison.  Partitioning, retries and row order have no influence.
+    comparison.  Partitioning, retries and row order have no influence.  Draws
+    for different purposes are independent, whatever their seeds.
     """
     if not 0 <= share <= 1:
         raise ValueError("share must lie between 0 and 1")
     if share == 1:
         return F.lit(True)
-    digest = F.md5(F.concat_ws("|", *keys, F.lit(str(seed))))
+    digest = F.md5(F.concat_ws("|", *keys, F.lit(purpose), F.lit(str(seed))))
     return digest < format(int(share * 2**32), "08x")
 
 

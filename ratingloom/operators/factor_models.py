@@ -2,23 +2,18 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ratingloom.functions.vectors import dot
+from ratingloom.operators.lookup import attach_counted
 from ratingloom.operators.nearest import top_n
 from ratingloom.scratch import materialize, shared_folder
 
-# Ratings a factor block should hold, and the most it may hold once there are
-# _MANY_BLOCKS of them: the fit exchanges a message per pair of blocks.
-_BLOCK_RATINGS, _FULL_BLOCK_RATINGS, _MANY_BLOCKS = 2_000_000, 100_000_000, 2_000
-
-
-def _block_count(ratings: int, parallel: int) -> int:
-    wanted = max(math.ceil(ratings / _BLOCK_RATINGS), min(parallel, 10))
-    return max(min(wanted, _MANY_BLOCKS), math.ceil(ratings / _FULL_BLOCK_RATINGS))
+# MLlib draws the first factors block by block, so the number of blocks is part
+# of the model like its seed: it must not follow from the cluster or the data.
+BLOCKS = 10
 
 
 def fit_als(
@@ -28,19 +23,17 @@ def fit_als(
     alpha: float = 1.0,
     maxIter: int = 10,
     seed: int = 42,
-    blocks: int | None = None,
+    blocks: int = BLOCKS,
 ) -> ALSModel:
     """Fit factors on (user_idx, item_idx, rating).
 
     ``alpha`` is accepted for completeness; it has no effect on explicit
-    ratings.  Blocks grow with the number of ratings unless given.  Factors are
-    checkpointed in the shared folder every few iterations, so a lost executor
+    ratings.  ``blocks`` cuts users and items; give more for more ratings than
+    ten tasks should hold, and the same number to get the same model.  Factors
+    are checkpointed in the shared folder every few iterations, so a lost executor
     does not replay the whole fit.
     """
-    spark = train.sparkSession
-    shared_folder(spark)
-    if blocks is None:
-        blocks = _block_count(train.count(), spark.sparkContext.defaultParallelism)
+    shared_folder(train.sparkSession)
     als = ALS(
         userCol="user_idx",
         itemCol="item_idx",
@@ -59,8 +52,17 @@ def fit_als(
 
 
 def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
-    """Score (user_idx, item_idx) pairs; pairs the fit has not seen are dropped."""
-    return model.transform(pairs)
+    """Score (user_idx, item_idx) pairs; pairs the fit has not seen are dropped.
+
+    Factors are joined with the pairs' own key counts, so a user or item with
+    very many pairs is sliced.
+    """
+    users = model.userFactors.select(F.col("id").alias("user_idx"), F.col("features").alias("_user"))
+    items = model.itemFactors.select(F.col("id").alias("item_idx"), F.col("features").alias("_item"))
+    scored = attach_counted(pairs, users, "user_idx")
+    scored = attach_counted(scored, items, "item_idx", counted=pairs)
+    score = dot(F.col("_user"), F.col("_item")).cast("float")
+    return scored.select(*pairs.columns, score.alias("prediction"))
 
 
 def recommend_for_users(model: ALSModel, users: DataFrame, n: int = 10) -> DataFrame:

@@ -9,11 +9,19 @@ from pyspark.sql import functions as F
 
 
 def key_list(spark: SparkSession, keys: Sequence[str]) -> DataFrame:
-    """(ordinal, key): each key once, at its first place in the list."""
+    """(ordinal, key) of a short list: each key once, at its first place."""
     listed = spark.range(1).select(F.array_distinct(F.lit(list(keys)).cast("array<string>")).alias("keys"))
     return listed.select(F.posexplode("keys").alias("ordinal", "key"))
 
 
+def first_places(listed: DataFrame) -> DataFrame:
+    """(ordinal, key) from rows (ordinal, key) of any number: each key at its first place.
+
+    ``ordinal`` may be anything that orders the list, gaps included.
+    """
+    return listed.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("ordinal").alias("ordinal"))
+
+
 def _as_list(document: Column, field: str) -> Column:
     """The field as strings; of a nested list, its first inner list."""
     nested = F.try_variant_get(document, f"$.{field}", "array<array<string>>")
@@ -31,7 +39,10 @@ def category_path(document: Column) -> Column:
 
 
 def describe(documents: DataFrame) -> DataFrame:
-    """(asin, title, category, brand, price) of parsed metadata documents."""
+    """(asin, title, category, brand, price) of parsed metadata documents.
+
+    ``price`` is the text as stored, ``price_value`` the number it spells, if any.
+    """
     document = F.col("document")
 
     def field(name: str, kind: str) -> Column:
@@ -43,23 +54,24 @@ def describe(documents: DataFrame) -> DataFrame:
         field("title", "string"),
         category_path(document).alias("category"),
         field("brand", "string"),
-        field("price", "double"),
+        field("price", "string"),
+        F.expr("try_cast(try_variant_get(document, '$.price', 'string') AS double)").alias("price_value"),
     )
 
 
 def lookup(details: DataFrame, keys: DataFrame, key: str = "asin") -> DataFrame:
-    """First row per wanted key, in key order; keys without a row are absent.
+    """First row per wanted key, in key order with its ``ordinal``; keys without a row are absent.
 
     ``details`` carries ``place``, which orders copies of a key.  The join drops
     everything else before the copies meet, and the first copy is picked by a
     partial aggregate, so a key with very many copies is reduced in every task.
     """
-    wanted = details.join(keys.withColumnRenamed("key", key), key)
+    wanted = details.join(keys.withColumnRenamed("key", key), key)  # keys are unique
     fields = [name for name in details.columns if name not in (key, "place")]
     first = F.min_by(F.struct(*fields), F.col("place")).alias("first")
     return (
         wanted.groupBy("ordinal", key)
         .agg(first)
         .orderBy("ordinal")
-        .select(key, *[f"first.{name}" for name in fields])
+        .select("ordinal", key, *[f"first.{name}" for name in fields])
     )

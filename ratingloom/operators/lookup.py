@@ -68,3 +68,19 @@ def attach(
     every_slice = F.explode(F.sequence(F.lit(0), F.greatest(slices, F.lit(1)) - 1))
     repeated = lookup.withColumn("_slice", every_slice).drop("cnt")
     return sliced_rows.join(repeated, [key, "_slice"], how).select(columns)
+
+
+def attach_counted(
+    rows: DataFrame,
+    table: DataFrame,
+    key: str,
+    counted: DataFrame | None = None,
+    slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
+    """Inner join to a table unique on ``key``, sliced by the counts of the frame joined.
+
+    ``counted`` is a cheaper frame with at least as many rows of every key.
+    """
+    counts = key_counts(rows if counted is None else counted, key)
+    known = store_keys(table.drop("cnt").join(counts, key), f"counted-{key}")
+    return attach(rows, known, key, slice_rows=slice_rows)

@@ -21,15 +21,24 @@ def hash_sample(
     """The same sample whatever the partitioning; copies of a key stay together."""
     if not 0 < fraction < 1:
         return df
-    return df.where(falls_below(fraction, *map(F.col, keys), seed=seed))
+    return df.where(falls_below(fraction, *map(F.col, keys), purpose="sample", seed=seed))
+
+
+def mark_split(
+    df: DataFrame, train_share: float = 0.8, seed: int = 42, keys: tuple[str, ...] = _PAIR
+) -> DataFrame:
+    """``df`` with ``in_train``, decided by the key's hash, independently of any sample."""
+    return df.withColumn(
+        "in_train", falls_below(train_share, *map(F.col, keys), purpose="split", seed=seed)
+    )
 
 
 def hash_split(
     df: DataFrame, train_share: float = 0.8, seed: int = 42, keys: tuple[str, ...] = _PAIR
 ) -> tuple[DataFrame, DataFrame]:
-    """Train and validation parts, decided by the key's hash."""
-    in_train = falls_below(train_share, *map(F.col, keys), seed=seed)
-    return df.where(in_train), df.where(~in_train)
+    """Train and validation parts by ``mark_split``."""
+    marked = mark_split(df, train_share, seed, keys)
+    return marked.where("in_train").drop("in_train"), marked.where("NOT in_train").drop("in_train")
 
 
 def random_split(

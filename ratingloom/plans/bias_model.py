@@ -8,7 +8,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratingloom.operators.lookup import KeyTable, attach, store_keys
+from ratingloom.operators.lookup import KeyTable, attach_counted, store_keys
 from ratingloom.scratch import side_by_side
 
 
@@ -56,7 +56,7 @@ class BiasModel:
 
     def transform(self, pairs: DataFrame) -> DataFrame:
         """Add ``prediction``; pairs with an unseen user or item are dropped."""
-        scored = attach(pairs, self.sums.items, "item_idx")
-        scored = attach(scored, self.sums.users, "user_idx")
+        scored = attach_counted(pairs, self.sums.items.rows, "item_idx")
+        scored = attach_counted(scored, self.sums.users.rows, "user_idx", counted=pairs)
         biases = self._bias("item", self.item_damping) + self._bias("user", self.user_damping)
         return scored.select(*pairs.columns, F.round(self.sums.mean + biases, 9).alias("prediction"))

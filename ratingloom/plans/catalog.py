@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ratingloom.functions import vectors as vec
@@ -71,7 +71,7 @@ pairs AS (
 # md5 hex digests below this text are four fifths of all digests.
 _SPLIT = f"""{_PAIRS},
 split AS (
-  SELECT *, md5(concat(user_idx, '|', item_idx, '|42')) < 'cccccccc' AS in_train FROM pairs),
+  SELECT *, md5(concat(user_idx, '|', item_idx, '|split|42')) < 'cccccccc' AS in_train FROM pairs),
 train AS (SELECT user_idx, item_idx, rating FROM split WHERE in_train),
 validation AS (SELECT user_idx, item_idx, rating FROM split WHERE NOT in_train)"""
 
@@ -411,33 +411,67 @@ def activity_histogram_top(spark, folder):
 
 @query("hash_split", f"WITH {_SPLIT} SELECT user_idx, item_idx, rating, in_train FROM split")
 def hash_split(spark, folder):
-    train, validation = splitting.hash_split(inputs.rated_pairs(spark, folder))
-    return train.withColumn("in_train", F.lit(True)).unionByName(
-        validation.withColumn("in_train", F.lit(False))
-    )
+    return splitting.mark_split(inputs.rated_pairs(spark, folder))
+
+
+@query(
+    "sampled_split",
+    f"""WITH {_SPLIT} SELECT user_idx, item_idx, rating, in_train FROM split
+    WHERE md5(concat(user_idx, '|', item_idx, '|sample|42')) < '80000000'""",
+)
+def sampled_split(spark, folder):
+    """Half of the pairs, then the split, which the sample does not tilt."""
+    return splitting.mark_split(splitting.hash_sample(inputs.rated_pairs(spark, folder), 0.5))
 
 
 @query(
     "hash_sample",
     f"""WITH {_PAIRS} SELECT * FROM pairs
-    WHERE md5(concat(user_idx, '|', item_idx, '|42')) < '40000000'""",
+    WHERE md5(concat(user_idx, '|', item_idx, '|sample|42')) < '40000000'""",
 )
 def hash_sample(spark, folder):
     return splitting.hash_sample(inputs.rated_pairs(spark, folder), 0.25)
 
 
-@query("bernoulli_sample")
+def _times_found(every: DataFrame, **parts: DataFrame) -> DataFrame:
+    """Every pair with the number of times each part holds it, as one row per pair."""
+    keys = ["user_idx", "item_idx", "rating"]
+    tagged = every.select(*keys, F.lit("").alias("part"))
+    for name, part in parts.items():
+        tagged = tagged.unionByName(part.select(*keys, F.lit(name).alias("part")))
+    counts = [F.count(F.when(F.col("part") == name, 1)).alias(name) for name in ("", *parts)]
+    return tagged.groupBy(*keys).agg(*counts).withColumnRenamed("", "given")
+
+
+@query(
+    "bernoulli_sample",
+    f"""WITH {_PAIRS} SELECT user_idx, item_idx, rating, true AS within, true AS share_fits FROM pairs""",
+)
 def bernoulli_sample(spark, folder):
-    return splitting.bernoulli_sample(inputs.rated_pairs(spark, folder), 0.25)
+    """Which rows fall into the sample is Spark's draw; here every pair says that
+    the sample holds it at most once, and that the sample's share is near a quarter."""
+    pairs = materialize(inputs.rated_pairs(spark, folder), "pairs")
+    sample = materialize(splitting.bernoulli_sample(pairs, 0.25), "sample")
+    found = _times_found(pairs, sample=sample)
+    n, drawn = pairs.count(), sample.count()
+    fits = abs(drawn - n / 4) <= 6 * (n * 3 / 16) ** 0.5
+    within = (F.col("given") == 1) & (F.col("sample") <= 1)
+    return found.select("user_idx", "item_idx", "rating", within.alias("within"), F.lit(fits).alias("share_fits"))
 
 
-@query("random_split")
+@query(
+    "random_split",
+    f"""WITH {_PAIRS} SELECT user_idx, item_idx, rating, true AS in_one_part, true AS share_fits FROM pairs""",
+)
 def random_split(spark, folder):
-    train, validation = splitting.random_split(inputs.rated_pairs(spark, folder))
-    sizes = train.select(F.lit("train").alias("part")).unionByName(
-        validation.select(F.lit("validation").alias("part"))
-    )
-    return sizes.groupBy("part").agg(F.count("*").alias("num_rows"))
+    """Spark's draw again: every pair is in exactly one part, and the parts' sizes fit."""
+    pairs = materialize(inputs.rated_pairs(spark, folder), "pairs")
+    train, validation = (materialize(p, "part") for p in splitting.random_split(pairs))
+    found = _times_found(pairs, train=train, validation=validation)
+    n, drawn = pairs.count(), train.count()
+    fits = abs(drawn - 0.8 * n) <= 6 * (n * 0.16) ** 0.5
+    once = (F.col("given") == 1) & (F.col("train") + F.col("validation") == 1)
+    return found.select("user_idx", "item_idx", "rating", once.alias("in_one_part"), F.lit(fits).alias("share_fits"))
 
 
 # -- ranking metrics, on predictions of the bias model --------------------------
@@ -474,13 +508,13 @@ def user_metrics(spark, folder):
     return per_user.select("user_idx", *_six("precision", "recall", "ndcg"))
 
 
-def _metric_query(name: str, metric: str):
+def _metric_query(name: str, metric: str, compute=ranking_metrics.evaluate):
     @query(name, f"WITH {_ONE} SELECT {metric} FROM trials")
     def run(spark, folder):
-        return ranking_metrics.evaluate(_predictions(spark, folder), K).select(*_six(metric))
+        return compute(_predictions(spark, folder), K).select(*_six(metric))
 
 
-_metric_query("precision_at_k", "precision_at_k")
+_metric_query("precision_at_k", "precision_at_k", ranking_metrics.mean_precision)
 _metric_query("recall_at_k", "recall_at_k")
 _metric_query("ndcg_at_k", "ndcg_at_k")
 
@@ -698,56 +732,115 @@ def similar_items(spark, folder):
 
 # -- matrix factorisation ------------------------------------------------------
 
-_ALS = {"rank": 8, "maxIter": 5}
+# As the training job fits by default.
+_ALS = {"rank": 32, "maxIter": 10}
 
+# The floats of a fit are MLlib's; SQL checks which rows a query has, and the
+# query checks on every row what must hold for any factors.
 
-@query("als_predict")
+
+@query(
+    "als_predict",
+    f"""WITH {_SPLIT}
+    SELECT user_idx, item_idx, rating, true AS is_dot_product FROM validation
+    WHERE user_idx IN (SELECT user_idx FROM train) AND item_idx IN (SELECT item_idx FROM train)""",
+)
 def als_predict(spark, folder):
+    """Pairs that survive the cold-start drop, their prediction held against MLlib's own."""
     train, validation = _split_pairs(spark, folder)
-    return factor_models.predict(factor_models.fit_als(train, **_ALS), validation)
+    model = factor_models.fit_als(train, **_ALS)
+    mine = factor_models.predict(model, validation)
+    theirs = model.transform(validation).select("user_idx", "item_idx", F.col("prediction").alias("expected"))
+    close = F.abs(F.col("prediction") - F.col("expected")) <= 1e-3
+    return mine.join(theirs, ["user_idx", "item_idx"]).select("user_idx", "item_idx", "rating", close.alias("is_dot_product"))
+
+
+def _gradients(pairs: DataFrame, users: DataFrame, items: DataFrame, key: str) -> DataFrame:
+    """(key, num_ratings, size): the largest entry of the loss's gradient at each ``key``."""
+    own, other = ("p", "q") if key == "user_idx" else ("q", "p")
+    error = vec.dot(F.col("p"), F.col("q")) - F.col("rating")
+    rows = pairs.join(items, "item_idx").join(users, "user_idx").withColumn("error", error)
+    axes = range(_ALS["rank"])
+    sums = rows.groupBy(key).agg(
+        F.count("*").alias("num_ratings"),
+        *[F.sum(F.col("error") * F.col(other)[axis]).alias(f"pull{axis}") for axis in axes],
+    )
+    # Per rating, so that single-precision factors leave the same trace for all keys.
+    parts = [F.col(f"pull{x}") / F.col("num_ratings") + 0.1 * F.col(own)[x] for x in axes]
+    factors = users if key == "user_idx" else items
+    return sums.join(factors, key).select(key, "num_ratings", F.greatest(*map(F.abs, parts)).alias("size"))
 
 
 @query(
     "als_normal_equations",
     f"""WITH {_PAIRS}
-    SELECT user_idx, count(*) AS num_ratings, true AS solved FROM pairs GROUP BY user_idx""",
+    SELECT 'user' AS side, user_idx AS idx, count(*) AS num_ratings, true AS solved FROM pairs GROUP BY user_idx
+    UNION ALL
+    SELECT 'item', item_idx, count(*), true FROM pairs GROUP BY item_idx""",
 )
 def als_normal_equations(spark, folder):
-    """A saved and reloaded fit, checked: users' factors zero the gradient of their loss."""
+    """A saved and reloaded fit: the side solved last (users) zeroes the gradient of
+    its loss, and the items', solved half a round before, is small."""
     pairs = materialize(inputs.rated_pairs(spark, folder), "pairs")
     fitted = factor_models.fit_als(pairs, regParam=0.1, **_ALS)
     model = models.load_model(models.save_model(fitted, scratch_path(spark, "als-model")))
     users = model.userFactors.select(F.col("id").alias("user_idx"), F.col("features").alias("p"))
     items = model.itemFactors.select(F.col("id").alias("item_idx"), F.col("features").alias("q"))
-    error = vec.dot(F.col("p"), F.col("q")) - F.col("rating")
-    rows = pairs.join(items, "item_idx").join(users, "user_idx").withColumn("error", error)
-    axes = range(_ALS["rank"])
-    sums = rows.groupBy("user_idx").agg(
-        F.count("*").alias("num_ratings"),
-        *[F.sum(F.col("error") * F.col("q")[axis]).alias(f"pull{axis}") for axis in axes],
-    )
-    # Per rating, so that single-precision factors leave the same trace for all users.
-    gradient = [F.col(f"pull{x}") / F.col("num_ratings") + 0.1 * F.col("p")[x] for x in axes]
-    return sums.join(users, "user_idx").select(
-        "user_idx", "num_ratings", (F.greatest(*map(F.abs, gradient)) < 1e-4).alias("solved")
+    sides = []
+    for side, key, bound in (("user", "user_idx", 1e-4), ("item", "item_idx", 0.5)):
+        found = _gradients(pairs, users, items, key)
+        solved = (F.col("size") < bound).alias("solved")
+        sides.append(found.select(F.lit(side).alias("side"), F.col(key).alias("idx"), "num_ratings", solved))
+    return sides[0].union(sides[1])
+
+
+def _by_mllib(model, users: DataFrame, n: int) -> DataFrame:
+    """(user_idx, rank, expected): scores of MLlib's own recommendations."""
+    theirs = model.recommendForUserSubset(users.select("user_idx").distinct(), n)
+    return theirs.select("user_idx", F.posexplode("recommendations").alias("pos", "rec")).select(
+        "user_idx", (F.col("pos") + 1).alias("rank"), F.col("rec.rating").alias("expected")
     )
 
 
-@query("als_recommend")
+@query(
+    "als_recommend",
+    f"""WITH {_PAIRS}, n AS (SELECT least(10, count(DISTINCT item_idx)) AS n FROM pairs)
+    SELECT user_idx, CAST(unnest(range(1, n + 1)) AS INTEGER) AS rank, true AS is_best
+    FROM (SELECT DISTINCT user_idx FROM pairs), n""",
+)
 def als_recommend(spark, folder):
+    """Every user's ten items; the score at each rank is held against MLlib's."""
     pairs = materialize(inputs.rated_pairs(spark, folder), "pairs")
     model = factor_models.fit_als(pairs, **_ALS)
-    return factor_models.recommend_for_users(model, pairs, 10)
+    found = factor_models.recommend_for_users(model, pairs, 10)
+    close = F.abs(F.col("score") - F.col("expected")) <= 1e-3
+    return found.join(_by_mllib(model, pairs, 10), ["user_idx", "rank"]).select("user_idx", "rank", close.alias("is_best"))
+
 
+_LABELLED_POPULAR = """
+popular_best AS (
+  SELECT item_id, count(*) AS count_ratings,
+         CAST(row_number() OVER (ORDER BY count(*) DESC, item_idx) AS INTEGER) AS rank
+  FROM indexed JOIN item_map USING (item_idx) GROUP BY item_idx, item_id)"""
 
-@query("als_recommend_with_fallback")
+
+@query(
+    "als_recommend_with_fallback",
+    f"""WITH {_MAPS}, {_LABELLED_POPULAR}, n AS (SELECT least(10, count(*)) AS n FROM item_map),
+    subjects AS (SELECT DISTINCT user_id FROM ratings)
+    SELECT user_id, CAST(unnest(range(1, n + 1)) AS INTEGER) AS rank, 'als' AS source,
+           CAST(NULL AS VARCHAR) AS popular_item, CAST(NULL AS BIGINT) AS popular_count, true AS is_best
+    FROM subjects SEMI JOIN user_map USING (user_id), n
+    UNION ALL
+    SELECT user_id, rank, 'popularity', item_id, count_ratings, true
+    FROM subjects ANTI JOIN user_map USING (user_id), popular_best WHERE rank <= 10""",
+)
 def als_recommend_with_fallback(spark, folder):
     indexed = _indexed(spark, folder)
     interactions = materialize(indexed.interactions, "interactions")
     model = factor_models.fit_als(interactions, **_ALS)
-    subjects = inputs.ratings(spark, folder).select("user_id")
-    return recommending.recommend(
-        subjects,
+    found = recommending.recommend(
+        inputs.ratings(spark, folder).select("user_id"),
         model.userFactors,
         model.itemFactors,
         indexed.user_map,
@@ -755,32 +848,89 @@ def als_recommend_with_fallback(spark, folder):
         popularity.compute_popularity(interactions),
         10,
     )
+    expected = _by_mllib(model, interactions, 10).join(indexed.user_map, "user_idx").drop("user_idx")
+    popular = F.col("source") == "popularity"
+    close = popular | F.coalesce(F.abs(F.col("score") - F.col("expected")) <= 1e-3, F.lit(False))
+    return found.join(expected, ["user_id", "rank"], "left").select(
+        "user_id",
+        "rank",
+        "source",
+        F.when(popular, F.col("item_id")).alias("popular_item"),
+        F.when(popular, F.col("score").cast("long")).alias("popular_count"),
+        close.alias("is_best"),
+    )
 
 
-@query("als_similar_items")
+@query(
+    "als_similar_items",
+    f"""WITH {_MAPS}, {_LABELLED_POPULAR}, n AS (SELECT least(5, count(*) - 1) AS n FROM item_map),
+    subjects AS (SELECT DISTINCT item_id FROM ratings)
+    SELECT item_id, CAST(unnest(range(1, n + 1)) AS INTEGER) AS rank, 'als' AS source,
+           CAST(NULL AS VARCHAR) AS popular_item, true AS is_cosine, true AS in_order
+    FROM subjects SEMI JOIN item_map USING (item_id), n
+    UNION ALL
+    SELECT s.item_id, p.rank, 'popularity', p.item_id, true, true
+    FROM (SELECT item_id FROM subjects ANTI JOIN item_map USING (item_id)) s, popular_best p WHERE p.rank <= 5""",
+)
 def als_similar_items(spark, folder):
+    """Scores are held against the cosine of the stored factors, ranks against scores."""
     indexed = _indexed(spark, folder)
     interactions = materialize(indexed.interactions, "interactions")
     model = factor_models.fit_als(interactions, **_ALS)
-    subjects = inputs.ratings(spark, folder).select("item_id")
-    return recommending.similar_items(
-        subjects,
+    found = recommending.similar_items(
+        inputs.ratings(spark, folder).select("item_id"),
         model.itemFactors,
         indexed.item_map,
         popularity.compute_popularity(interactions),
         5,
     )
+    named = model.itemFactors.join(indexed.item_map, F.col("id") == F.col("item_idx"))
+    own = named.select("item_id", F.col("features").alias("p"))
+    other = named.select(F.col("item_id").alias("similar_item_id"), F.col("features").alias("q"))
+    judged = found.join(own, "item_id", "left").join(other, "similar_item_id", "left")
+    popular = F.col("source") == "popularity"
+    exact = F.abs(F.col("score") - vec.cosine(F.col("p"), F.col("q"))) <= 1e-6
+    ranked = Window.partitionBy("item_id").orderBy("rank")
+    descends = F.coalesce(F.col("score") <= F.lag("score").over(ranked) + 1e-9, F.lit(True))
+    return judged.select(
+        "item_id",
+        "rank",
+        "source",
+        F.when(popular, F.col("similar_item_id")).alias("popular_item"),
+        (popular | (exact & (F.col("item_id") != F.col("similar_item_id")))).alias("is_cosine"),
+        descends.alias("in_order"),
+    )
 
 
-@query("als_grid")
+@query(
+    "als_grid",
+    "SELECT * FROM (VALUES "
+    + ", ".join(
+        f"({at}, {c['rank']}, {c['regParam']}::DOUBLE, true, true)" for at, c in enumerate(grid.grid(grid.ALS_GRID))
+    )
+    + ") AS t(ordinal, rank, regParam, in_range, best_by_rule)",
+)
 def als_grid(spark, folder):
+    """The default grid; the kept trial is held against the rule written as an order."""
     train, validation = (part.persist() for part in _split_pairs(spark, folder))
-    candidates = grid.grid({"rank": (8,), "regParam": (0.1, 0.8)})
-    trials, _ = grid.search(
-        train, validation, candidates, lambda t, **p: factor_models.fit_als(t, maxIter=5, **p), K
-    )
-    train.unpersist(), validation.unpersist()
-    return grid.trials_frame(spark, trials)
+    try:
+        trials, _ = grid.search(
+            train,
+            validation,
+            grid.grid(grid.ALS_GRID),
+            lambda t, **p: factor_models.fit_als(t, maxIter=_ALS["maxIter"], **p),
+            K,
+            score=factor_models.predict,
+        )
+    finally:
+        train.unpersist(), validation.unpersist()
+    frame = grid.trials_frame(spark, trials)
+    # One row per candidate of the grid.
+    order = Window.orderBy(F.desc(F.round("precision_at_k", 9)), F.round("rmse", 9), "ordinal")
+    shares = [F.col(m).between(0, 1) for m in ("precision_at_k", "recall_at_k", "ndcg_at_k")]
+    in_range = (F.col("rmse") > 0) & shares[0] & shares[1] & shares[2]
+    best_by_rule = F.col("is_best") == (F.row_number().over(order) == 1)
+    return frame.select("ordinal", "rank", "regParam", in_range.alias("in_range"), best_by_rule.alias("best_by_rule"))
 
 
 # -- item details and feedback -------------------------------------------------
@@ -788,36 +938,40 @@ def als_grid(spark, folder):
 
 @query(
     "item_lookup",
-    """SELECT CAST(p_partkey AS VARCHAR) AS asin, p_name AS title, p_type || ' > ' || p_brand AS category,
-              p_brand AS brand, p_retailprice AS price
-    FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem)""",
+    """WITH wanted AS (
+      SELECT CAST(l_partkey AS VARCHAR) AS key, min(l_orderkey * 10 + l_linenumber) AS place
+      FROM lineitem GROUP BY 1
+      UNION ALL SELECT 'absent', -1)
+    SELECT CAST(row_number() OVER (ORDER BY place, key) AS INTEGER) AS position, key AS asin, p_name AS title,
+           p_type || ' > ' || p_brand AS category, p_brand AS brand,
+           CASE WHEN p_partkey % 3 = 0 THEN '$' || CAST(p_partkey AS VARCHAR) ELSE CAST(p_partkey AS VARCHAR) || '.5' END AS price,
+           CASE WHEN p_partkey % 3 <> 0 THEN p_partkey + 0.5::DOUBLE END AS price_value
+    FROM wanted JOIN part ON CAST(p_partkey AS VARCHAR) = key""",
 )
 def item_lookup(spark, folder):
-    """Parts stored as ragged JSON lines, looked up for every ordered part."""
+    """Parts stored as ragged JSON lines, each twice and between blank and broken
+    lines, looked up for the parts in the order in which they were first bought."""
     part = inputs.table(spark, folder, "part")
-    nested = F.when(
-        F.col("p_partkey") % 2 == 0, F.array(F.array("p_type", "p_brand"))
-    )
+    nested = F.when(F.col("p_partkey") % 2 == 0, F.array(F.array("p_type", "p_brand")))
     flat = F.when(F.col("p_partkey") % 2 == 1, F.array("p_type", "p_brand"))
+    key = F.col("p_partkey").cast("string")
+    price = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit('"$'), key, F.lit('"'))).otherwise(F.concat(key, F.lit(".5")))
+    fields = [key.alias("asin"), F.col("p_name").alias("title"), flat.alias("category"), nested.alias("categories"), F.col("p_brand").alias("brand")]
+    # A price is a number in some lines and text in others, so it is put in as written.
+    first = F.concat(F.regexp_replace(F.to_json(F.struct(*fields)), "}$", ""), F.lit(',"price":'), price, F.lit("}"))
+    later = F.to_json(F.struct(key.alias("asin"), F.lit("a later copy").alias("title")))
+    lines = F.array(first, F.lit(""), F.lit("  "), F.concat(F.lit('{"asin": "'), key), later)
     path = scratch_path(spark, "metadata")
-    part.select(
-        F.to_json(
-            F.struct(
-                F.col("p_partkey").cast("string").alias("asin"),
-                F.col("p_name").alias("title"),
-                flat.alias("category"),
-                nested.alias("categories"),
-                F.col("p_brand").alias("brand"),
-                F.col("p_retailprice").alias("price"),
-            )
-        )
-    ).write.text(path)
-    keys = inputs.table(spark, folder, "lineitem").select(
-        F.col("l_partkey").alias("ordinal"), F.col("l_partkey").cast("string").alias("key")
-    )
-    return item_details.lookup(
-        item_details.describe(read_metadata(spark, path)), keys.distinct()
+    part.select(F.explode(lines)).write.text(path)
+    bought = inputs.table(spark, folder, "lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ordinal"), F.col("l_partkey").cast("string").alias("key")
     )
+    absent = spark.range(1).select(F.lit(-1).cast("long").alias("ordinal"), F.lit("absent").alias("key"))
+    keys = item_details.first_places(bought.union(absent))
+    found = item_details.lookup(item_details.describe(read_metadata(spark, path)), keys)
+    # The result has one row per part; its positions are what the query shows.
+    place = F.row_number().over(Window.orderBy("ordinal", "asin"))
+    return found.select(place.cast("int").alias("position"), "asin", "title", "category", "brand", "price", "price_value")
 
 
 def _ingested(spark: SparkSession, folder: str) -> str:

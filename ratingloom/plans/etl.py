@@ -1,6 +1,6 @@
 """Raw reviews to the four pipeline tables.
 
-    spark-submit -m ratingloom.plans.etl --input reviews.json.gz --output tables/
+    spark-submit --py-files ratingloom.zip ratingloom/plans/etl.py --input reviews.json.gz --output tables/
 """
 
 from __future__ import annotations
@@ -30,12 +30,14 @@ def preprocess_reviews(
     """Clean, threshold, index and write; returns the written paths.
 
     Several aggregates and joins read the clean rows and the rows that pass the
-    thresholds, so both are stored; text is parsed once.
+    thresholds, so the rows are stored as columns once before each; text is
+    parsed once.
     """
     fmt = fmt or detect_format(input_path)
     with scratch_tables(spark):
         clean = read_reviews(spark, input_path, fmt, columns)
-        if fmt != "parquet":
+        # JSON whose columns had to be found is in a scratch table already.
+        if fmt in ("csv", "tsv") or (fmt == "json" and columns is not None):
             clean = materialize(clean, "clean")
         kept = materialize(min_interactions(clean, minimum), "kept")
         indexed = index_ids(kept)

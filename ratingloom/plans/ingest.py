@@ -1,6 +1,6 @@
 """Ingest feedback files that landed since the last run.
 
-    spark-submit -m ratingloom.plans.ingest --source landing/ --target feedback/ --checkpoint state/
+    spark-submit --py-files ratingloom.zip ratingloom/plans/ingest.py --source landing/ --target feedback/ --checkpoint state/
 """
 
 from __future__ import annotations

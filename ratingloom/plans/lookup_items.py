@@ -1,6 +1,7 @@
 """Details of a list of items from a metadata file.
 
-    spark-submit -m ratingloom.plans.lookup_items --metadata meta.json.gz --output out/ ID [ID ...]
+    spark-submit --py-files ratingloom.zip ratingloom/plans/lookup_items.py --metadata meta.json.gz --output out/ \
+        (ID [ID ...] | --keys-file ids.txt)
 """
 
 from __future__ import annotations
@@ -9,25 +10,41 @@ import argparse
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ratingloom.operators.item_details import describe, key_list, lookup
+from ratingloom.operators.item_details import describe, first_places, key_list, lookup
 from ratingloom.session import open_session
-from ratingloom.sources.metadata import read_metadata
+from ratingloom.sources.metadata import line_place, read_metadata
 
 
-def item_details(spark: SparkSession, metadata_path: str, keys: Sequence[str]) -> DataFrame:
-    """(asin, title, category, brand, price) in the order of ``keys``."""
-    return lookup(describe(read_metadata(spark, metadata_path)), key_list(spark, keys))
+def keys_from_file(spark: SparkSession, path: str) -> DataFrame:
+    """(ordinal, key) of a text file or folder with one key per line, of any length."""
+    lines = spark.read.text(path).select(
+        line_place().alias("ordinal"), F.trim("value").alias("key")
+    )
+    return first_places(lines.where("key <> ''"))
+
+
+def item_details(
+    spark: SparkSession, metadata_path: str, keys: Sequence[str] | DataFrame
+) -> DataFrame:
+    """(asin, title, category, brand, price, price_value) in the order of ``keys``."""
+    wanted = keys if isinstance(keys, DataFrame) else key_list(spark, keys)
+    return lookup(describe(read_metadata(spark, metadata_path)), wanted).drop("ordinal")
 
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--metadata", required=True)
     parser.add_argument("--output", required=True)
-    parser.add_argument("keys", nargs="+")
+    parser.add_argument("--keys-file", help="text with one id per line")
+    parser.add_argument("keys", nargs="*")
     args = parser.parse_args(argv)
+    if bool(args.keys) == bool(args.keys_file):
+        parser.error("give ids or --keys-file")
     spark = open_session("ratingloom-lookup")
-    item_details(spark, args.metadata, args.keys).write.mode("overwrite").parquet(args.output)
+    keys = keys_from_file(spark, args.keys_file) if args.keys_file else args.keys
+    item_details(spark, args.metadata, keys).write.mode("overwrite").parquet(args.output)
 
 
 if __name__ == "__main__":

@@ -1,9 +1,11 @@
 """Batch result tables: recommendations per user, similar items per item.
 
-    spark-submit -m ratingloom.plans.serve_tables recommend \
+    spark-submit --py-files ratingloom.zip ratingloom/plans/serve_tables.py recommend \
         --tables tables/ --model artifacts/als_model --output recommendations/ [--subjects ids/]
 
-One user's or item's answer is then a filter on the table.
+One user's or item's answer is then a filter on the table.  A model, map or
+popularity table that does not exist yet is taken as empty: subjects then get
+the popular items, or nothing if there are none.
 """
 
 from __future__ import annotations
@@ -13,24 +15,25 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from ratingloom.operators.recommending import recommend, similar_items
+from ratingloom.scratch import scratch_tables
 from ratingloom.session import open_session
 from ratingloom.sources import tables
-from ratingloom.sources.models import load_model
+from ratingloom.sources.models import load_factors
 
 
 def recommendation_table(
     spark: SparkSession, tables_dir: str, model_path: str, users: DataFrame | None = None, n: int = 10
 ) -> DataFrame:
     """Recommendations for ``users`` (``user_id``), by default for every mapped user."""
-    model = load_model(model_path)
-    user_map = tables.read_table(spark, tables_dir, tables.USER_MAP)
+    user_factors, item_factors = load_factors(spark, model_path)
+    user_map = tables.read_or_empty(spark, tables_dir, tables.USER_MAP)
     return recommend(
         user_map if users is None else users,
-        model.userFactors,
-        model.itemFactors,
+        user_factors,
+        item_factors,
         user_map,
-        tables.read_table(spark, tables_dir, tables.ITEM_MAP),
-        tables.read_table(spark, tables_dir, tables.POPULAR_ITEMS),
+        tables.read_or_empty(spark, tables_dir, tables.ITEM_MAP),
+        tables.read_or_empty(spark, tables_dir, tables.POPULAR_ITEMS),
         n,
     )
 
@@ -39,12 +42,12 @@ def similarity_table(
     spark: SparkSession, tables_dir: str, model_path: str, items: DataFrame | None = None, n: int = 5
 ) -> DataFrame:
     """Similar items for ``items`` (``item_id``), by default for every mapped item."""
-    item_map = tables.read_table(spark, tables_dir, tables.ITEM_MAP)
+    item_map = tables.read_or_empty(spark, tables_dir, tables.ITEM_MAP)
     return similar_items(
         item_map if items is None else items,
-        load_model(model_path).itemFactors,
+        load_factors(spark, model_path)[1],
         item_map,
-        tables.read_table(spark, tables_dir, tables.POPULAR_ITEMS),
+        tables.read_or_empty(spark, tables_dir, tables.POPULAR_ITEMS),
         n,
     )
 
@@ -64,8 +67,10 @@ def main(argv: list[str] | None = None) -> None:
     spark = open_session(f"ratingloom-{args.job}")
     job, default_n = _JOBS[args.job]
     subjects = spark.read.parquet(args.subjects) if args.subjects else None
-    result = job(spark, args.tables, args.model, subjects, args.n or default_n)
-    result.write.mode("overwrite").parquet(args.output)
+    n = default_n if args.n is None else args.n
+    with scratch_tables(spark):
+        result = job(spark, args.tables, args.model, subjects, n)
+        result.write.mode("overwrite").parquet(args.output)
 
 
 if __name__ == "__main__":

@@ -1,6 +1,6 @@
 """Grid search over ALS, then the best model and the run's results.
 
-    spark-submit -m ratingloom.plans.train --tables tables/ --artifacts artifacts/
+    spark-submit --py-files ratingloom.zip ratingloom/plans/train.py --tables tables/ --artifacts artifacts/
 """
 
 from __future__ import annotations
@@ -14,9 +14,10 @@ from typing import Any
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from ratingloom.operators.factor_models import fit_als
+from ratingloom.operators.factor_models import BLOCKS, fit_als, predict
 from ratingloom.operators.grid import ALS_GRID, best_trial, grid, search, trials_frame
 from ratingloom.operators.splitting import hash_sample, hash_split
+from ratingloom.scratch import scratch_tables
 from ratingloom.session import open_session
 from ratingloom.sources import tables
 from ratingloom.sources.experiments import DOCUMENT_METRICS, write_results
@@ -40,14 +41,17 @@ def train_als(
     maxIter: int = 10,
     seed: int = 42,
     k: int = 10,
+    train_share: float = 0.8,
+    blocks: int = BLOCKS,
 ) -> Training:
     """Split, search the grid, save the model of highest precision."""
     train, validation = (
-        part.persist(StorageLevel.MEMORY_AND_DISK) for part in hash_split(interactions, seed=seed)
+        part.persist(StorageLevel.MEMORY_AND_DISK)
+        for part in hash_split(interactions, train_share, seed)
     )
     try:
-        fit = partial(fit_als, alpha=alpha, maxIter=maxIter, seed=seed)
-        trials, model = search(train, validation, grid(axes), fit, k)
+        fit = partial(fit_als, alpha=alpha, maxIter=maxIter, seed=seed, blocks=blocks)
+        trials, model = search(train, validation, grid(axes), fit, k, score=predict)
     finally:
         train.unpersist()
         validation.unpersist()
@@ -70,6 +74,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--reg", type=float, nargs="+", default=ALS_GRID["regParam"])
     parser.add_argument("--alpha", type=float, default=1.0)
     parser.add_argument("--maxiter", type=int, default=10)
+    parser.add_argument("--seed", type=int, default=42)
+    parser.add_argument("--blocks", type=int, default=BLOCKS, help="part of the model, like the seed")
+    parser.add_argument("--train-share", type=float, default=0.8)
     parser.add_argument("--sample-fraction", type=float, default=1.0)
     parser.add_argument("--sample-seed", type=int, default=42)
     args = parser.parse_args(argv)
@@ -77,7 +84,18 @@ def main(argv: list[str] | None = None) -> None:
     interactions = tables.read_table(spark, args.tables, tables.INTERACTIONS)
     sample = hash_sample(interactions, args.sample_fraction, args.sample_seed)
     axes = {"rank": tuple(args.rank), "regParam": tuple(args.reg)}
-    done = train_als(spark, sample, args.artifacts, axes, args.alpha, args.maxiter)
+    with scratch_tables(spark):
+        done = train_als(
+            spark,
+            sample,
+            args.artifacts,
+            axes,
+            args.alpha,
+            args.maxiter,
+            args.seed,
+            train_share=args.train_share,
+            blocks=args.blocks,
+        )
     print(done.model_path, done.params, done.metrics)
 
 

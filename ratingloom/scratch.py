@@ -12,6 +12,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
@@ -19,7 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 _Result = TypeVar("_Result")
 
-_written: list[str] = []
+# The paths written inside the innermost ``scratch_tables`` block around the
+# caller; threads started by ``side_by_side`` share their starter's.
+_owned: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -46,7 +49,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder."""
     run = spark.sparkContext.applicationId
     path = f"{shared_folder(spark).rstrip('/')}/ratingloom/{run}/{label}-{uuid.uuid4().hex}"
-    _written.append(path)
+    owned = _owned.get()
+    if owned is not None:
+        owned.append(path)
     return path
 
 
@@ -62,18 +67,24 @@ def side_by_side(spark: SparkSession, *steps: Callable[[], _Result]) -> list[_Re
     """Run independent steps, each with jobs of its own, at the same time."""
     inherit = inheritable_thread_target(spark)
     with ThreadPoolExecutor(len(steps)) as pool:
-        return [job.result() for job in [pool.submit(inherit(step)) for step in steps]]
+        jobs = [pool.submit(copy_context().run, inherit(step)) for step in steps]
+        return [job.result() for job in jobs]
 
 
 @contextmanager
 def scratch_tables(spark: SparkSession) -> Iterator[None]:
-    """Drop the scratch tables written inside the block when it ends."""
-    before = len(_written)
+    """Drop the scratch tables written inside the block when it ends.
+
+    Only the block's own tables go; other threads' and outer blocks' stay.
+    """
+    owned: list[str] = []
+    token = _owned.set(owned)
     try:
         yield
     finally:
+        _owned.reset(token)
         jvm = spark.sparkContext._jvm
         conf = spark.sparkContext._jsc.hadoopConfiguration()
-        while len(_written) > before:
-            path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        for name in owned:
+            path = jvm.org.apache.hadoop.fs.Path(name)
             path.getFileSystem(conf).delete(path, True)

@@ -6,13 +6,12 @@ from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Used where neither the cluster nor spark-submit says otherwise.  Lookup tables
-# are stored before they are joined, so the broadcast threshold meets real sizes;
-# above Spark's default it spares many a shuffle of the interactions.
+# are stored before they are joined, so Spark's own broadcast threshold meets real
+# sizes; it is left as it is, since a map takes several times its stored bytes.
 _SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
 }

@@ -15,6 +15,26 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{name}")
 
 
+# Columns of the tables that serving may find absent.
+_SCHEMAS = {
+    USER_MAP: "user_idx int, user_id string",
+    ITEM_MAP: "item_idx int, item_id string",
+    POPULAR_ITEMS: "item_idx int, count_ratings bigint, avg_rating double",
+}
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+def read_or_empty(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The table, or one without rows where it was not written."""
+    if path_exists(spark, f"{root.rstrip('/')}/{name}"):
+        return read_table(spark, root, name)
+    return spark.createDataFrame([], _SCHEMAS[name])
+
+
 def write_table(df: DataFrame, root: str, name: str) -> str:
     """Replace a table; returns its path."""
     path = f"{root.rstrip('/')}/{name}"

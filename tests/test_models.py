@@ -54,12 +54,21 @@ def test_predict_drops_unseen_pairs(spark, fitted):
     assert factor_models.predict(model, pairs).select("user_idx", "item_idx").collect() == [(1, 1)]
 
 
-@pytest.mark.parametrize(
-    ("ratings", "parallel", "blocks"),
-    [(1, 8, 8), (600_000, 64, 10), (10**9, 64, 500), (10**11, 64, 2000), (10**12, 64, 10_000)],
-)
-def test_block_count(ratings, parallel, blocks):
-    assert factor_models._block_count(ratings, parallel) == blocks
+def test_the_model_does_not_depend_on_the_session(spark, fitted):
+    pairs, model = fitted
+    want = {(r.user_idx, r.item_idx): r.prediction for r in factor_models.predict(model, pairs).collect()}
+    for parts in (1, 13):
+        again = factor_models.fit_als(pairs.repartition(parts), rank=6, regParam=0.1, maxIter=4)
+        for r in factor_models.predict(again, pairs).collect():
+            assert r.prediction == pytest.approx(want[r.user_idx, r.item_idx], abs=1e-4)
+
+
+def test_predictions_are_mllibs(fitted):
+    pairs, model = fitted
+    mine = {(r.user_idx, r.item_idx): r.prediction for r in factor_models.predict(model, pairs).collect()}
+    theirs = model.transform(pairs).collect()
+    assert len(theirs) == len(mine)
+    assert all(r.prediction == pytest.approx(mine[r.user_idx, r.item_idx], abs=1e-4) for r in theirs)
 
 
 def test_default_grid_and_order():

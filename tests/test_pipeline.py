@@ -487,7 +487,7 @@ def test_item_lookup(spark, tmp_path):
         json.dumps({"asin": "A2", "category": ["X", "Y"], "brand": "B"}),
         json.dumps({"asin": "A1", "title": "later"}),
         json.dumps({"asin": "A3", "category": "plain", "categories": [["E"]]}),
-        json.dumps({"asin": "A4", "category": [], "categories": ["E", 1]}),
+        json.dumps({"asin": "A4", "category": [], "categories": ["E", 1], "price": "$12.99"}),
         json.dumps({"asin": "A5"}),
         "[1, 2]",
     ]
@@ -496,11 +496,11 @@ def test_item_lookup(spark, tmp_path):
     wanted = ["A2", "A1", "A2", "A9", "A3", "A4", "A5"]
     found = look_up_items(spark, str(tmp_path / "meta.json.gz"), wanted)
     assert [tuple(r) for r in found.collect()] == [
-        ("A2", None, "X > Y", "B", None),
-        ("A1", "one", "E > C", None, 3.5),
-        ("A3", None, None, None, None),
-        ("A4", None, "E > 1", None, None),
-        ("A5", None, None, None, None),
+        ("A2", None, "X > Y", "B", None, None),
+        ("A1", "one", "E > C", None, "3.5", 3.5),
+        ("A3", None, None, None, None, None),
+        ("A4", None, "E > 1", None, "$12.99", None),
+        ("A5", None, None, None, None, None),
     ]
 
 
