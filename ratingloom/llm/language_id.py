@@ -37,6 +37,9 @@ PRIOR_COUNT, UNKNOWN = 0.05, 1e-7
 LONGEST_WORD = 32
 UNDETERMINED = "und"
 
+#: Characters scored together: more text repeats more of its words.
+SCORED_CHARS = 4_000_000
+
 _MARK = "▁"
 _LETTERS = re.compile(rf"[^\W\d_]{{1,{LONGEST_WORD}}}")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -275,7 +278,7 @@ def identify(docs: DataFrame, model: LanguageModel, label: str = "lang_pred", sc
     names = [*kept.columns, label, score]
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", SCORED_CHARS):
             labels, scores = carrier.value.predict(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(labels, pa.string()), pa.array(scores)], names)
 

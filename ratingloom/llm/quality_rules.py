@@ -48,7 +48,15 @@ _SPACES = " \t\n\x0b\f\r"
 
 
 def base_statistics(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, source, the base counts, base_failed, and the vector's columns."""
+    """doc_id, lang, source, the base counts, base_failed, and the vector's columns.
+
+    The result is a stored table: a filter on it must not sink below the steps
+    that compute a column once, where it would repeat them per word.
+    """
+    return materialize(_statistics(docs), "text-statistics")
+
+
+def _statistics(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", "lang", "source", text.alias("text"))
     # A column that later ones use more than once is computed once.
@@ -114,17 +122,22 @@ def _by_group(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
 def _whitening(estimates: DataFrame) -> DataFrame:
     """From m_i and c_ij: the inverse w_ij of the covariance's Cholesky factor, and log_det."""
     keys = [*_GROUP, "start", *[f"m{i}" for i in range(_P)]]
-    for i in range(_P):
-        for j in range(i + 1):
-            rest = F.col(f"c{i}{j}") - reduce(lambda a, b: a + b, [F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)], F.lit(0.0))
-            estimates = estimates.withColumn(f"l{i}{j}", F.sqrt(rest) if i == j else rest / F.col(f"l{j}{j}"))
+
+    def dot(pairs: list[tuple[str, str]]) -> Column:
+        return reduce(lambda a, b: a + b, [F.col(x) * F.col(y) for x, y in pairs], F.lit(0.0))
+
+    # Column by column, then diagonal by diagonal: what belongs together is one projection.
     for j in range(_P):
-        for i in range(j, _P):
-            if i == j:
-                value = 1.0 / F.col(f"l{i}{i}")
-            else:
-                value = -reduce(lambda a, b: a + b, [F.col(f"l{i}{k}") * F.col(f"w{k}{j}") for k in range(j, i)]) / F.col(f"l{i}{i}")
-            estimates = estimates.withColumn(f"w{i}{j}", value)
+        rest = {i: F.col(f"c{i}{j}") - dot([(f"l{i}{k}", f"l{j}{k}") for k in range(j)]) for i in range(j, _P)}
+        estimates = estimates.withColumn(f"l{j}{j}", F.sqrt(rest[j]))
+        estimates = estimates.withColumns({f"l{i}{j}": rest[i] / F.col(f"l{j}{j}") for i in range(j + 1, _P)})
+    estimates = estimates.withColumns({f"w{i}{i}": 1.0 / F.col(f"l{i}{i}") for i in range(_P)})
+    for d in range(1, _P):
+        below = {}
+        for j in range(_P - d):
+            i = j + d
+            below[f"w{i}{j}"] = -dot([(f"l{i}{k}", f"w{k}{j}") for k in range(j, i)]) / F.col(f"l{i}{i}")
+        estimates = estimates.withColumns(below)
     log_det = reduce(lambda a, b: a + b, [F.log(f"l{i}{i}") for i in range(_P)])
     return estimates.select(*keys, *[f"w{i}{j}" for i, j in _CELLS], F.round(log_det, 6).alias("log_det"))
 
@@ -198,7 +211,7 @@ def fit_groups(rows: DataFrame, steps: int = STEPS) -> DataFrame:
 def judge(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, kept and, where the base rule was passed, distance (squared)."""
-    rows = materialize(base_statistics(docs), "text-statistics")
+    rows = base_statistics(docs)
     passed = rows.where("NOT base_failed")
     model = materialize(fit_groups(passed), "mcd-model")
     shown = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]

@@ -48,10 +48,10 @@ def test_exact_sizes_and_gapless_slots(spark, n, shards):
 def test_shuffle_is_uniform(spark):
     """Over many seeds every row is in every shard about equally often."""
     seen = Counter()
-    for seed in range(60):
+    for seed in range(30):
         for r in sharding.into_shards(spark.range(8).coalesce(1), 2, seed=seed, partitions=4).collect():
             seen[r["id"], r["shard"]] += 1
-    assert all(12 <= seen[i, s] <= 48 for i in range(8) for s in range(2))
+    assert all(4 <= seen[i, s] <= 26 for i in range(8) for s in range(2))
 
 
 def test_no_python_runs(documents):
