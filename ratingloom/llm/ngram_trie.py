@@ -46,6 +46,8 @@ PRIOR = 200.0
 HOT = 1000
 #: Shards per shuffle partition.
 SHARDS = 4
+#: Words that a counting task holds before it sends their sums on.
+VOCABULARY_ROWS = 750_000
 #: Step of the quantised base-10 logarithms, and the lowest one held.
 STEP, LOWEST = 1 / 1024, -40.0
 
@@ -115,10 +117,13 @@ def _vocabulary(docs: DataFrame) -> DataFrame:
         for batch in pieces(batches, "text"):
             held.append(np.unique(tokens(batch.column("text"))[0], return_counts=True))
             size += len(held[-1][0])
-            if size > 4_000_000:  # rows go out in bounded pieces
-                words, counts = merged()
-                yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts)], ["word", "n"])
-                held, size = [], 0
+            if size > 2 * VOCABULARY_ROWS:
+                held = [merged()]
+                size = len(held[0][0])
+                if size > VOCABULARY_ROWS:  # what is held stays bounded
+                    words, counts = held[0]
+                    yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts)], ["word", "n"])
+                    held, size = [], 0
         if held:
             words, counts = merged()
             yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts)], ["word", "n"])
@@ -238,6 +243,7 @@ def _scores(occurrences: DataFrame, hot: dict[int, int], total: int, vocabulary:
 
             # Every distinct word, then every distinct pair of the partition is looked up once.
             asked, place = np.unique(word, return_inverse=True)
+            place = place.astype(np.int32) if len(asked) < 1 << 31 else place
             index = trie.find_words(asked)
             count = np.where(index >= 0, trie.known[np.maximum(index, 0)] if len(words) else 0, 0)
             if len(hot_words):
@@ -249,11 +255,13 @@ def _scores(occurrences: DataFrame, hot: dict[int, int], total: int, vocabulary:
             live = np.flatnonzero(index[place] >= 0)
             keys, back = np.unique((index[place[live]].astype(np.uint64) << np.uint64(32)) | previous[live], return_inverse=True)
             numerator[live] = trie.numerators((keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32))[back]
+            del keys, back, live
             # As the previous token of the next one, a word also brings its denominator.
-            denominator = np.where(asked == _END, 0.0, np.log10(count + prior))[place]
-            base = np.log10(count + 1.0)[place]
+            numerator -= np.where(asked == _END, 0.0, np.log10(count + prior))[place]
             owners, which = np.unique(owner, return_inverse=True)
-            sums = [np.bincount(which, x, len(owners)) for x in ((count > 0)[place].astype(float), base, numerator - denominator)]
+            sums = [np.bincount(which, numerator, len(owners))]
+            del numerator
+            sums = [np.bincount(which, of_word[place], len(owners)) for of_word in ((count > 0).astype(float), np.log10(count + 1.0))] + sums
             piece = owners >> 15
             begins = np.flatnonzero(np.diff(piece, prepend=-1))
             lengths = np.diff(np.append(begins, len(owners)))
