@@ -41,7 +41,7 @@ STEPS = 12
 # chi-squared quantile at 1 - 1e-5 beyond which a vector is rejected.
 CONSISTENCY, CUTOFF = 1.413, 30.86
 #: Per statistic, the least standard deviation that a group is taken to have.
-STATISTICS = {"word_length": 0.12, "symbols": 0.4, "capitals": 0.35, "digits": 0.7, "repeats": 0.6}
+STATISTICS = {"word_length": 0.12, "symbols": 0.4, "capitals": 0.35, "digits": 0.7, "repeats": 0.9}
 
 _UNIT = 1000  # vectors are held in thousandths
 _SPACES = " \t\n\x0b\f\r"
