@@ -8,8 +8,11 @@
 4. An audit compares a bounded set of nodes with all others, in blocks; while too
    few of their links were found, lists are doubled and more rounds follow.
 5. Edges at the threshold stay and form components.  A list whose every entry is
-   a link is saturated: it may lack more.  Components that hold one get lists as
-   long as the component, by block products, so their links are complete.
+   a link is saturated: it may lack more.  Components that hold one are open.
+   Their members meet those of other components in hyperplane leaves, without
+   regard to lists, and components that link there merge, until none do.
+6. Open components get lists as long as the component, by block products, so
+   their links are complete.
 
 Nulls and odd input: vectors that are null, empty, zero or hold a null, NaN or
 infinite component link with nothing, and vectors of different lengths do not
@@ -36,6 +39,8 @@ from ratingloom.scratch import materialize
 COSINE = 0.95
 #: Entries of a neighbour list at first, trees of hyperplanes, and rounds between audits.
 NEIGHBOURS, TREES, ROUNDS = 12, 6, 2
+#: Share of the pairs at the threshold that must meet in a leaf where components merge.
+LEAF_RECALL = 0.99
 #: Nodes of a block; leaves aim at a quarter of it.
 BLOCK = 256
 #: Nodes that the audit compares with all others, recall it asks for, and most audits.
@@ -141,6 +146,81 @@ def _block_lists(rows: DataFrame, names: list[str], k: int) -> DataFrame:
     return rows.repartition(*names).sortWithinPartitions(*names, "id").mapInArrow(join, _LISTS)
 
 
+def _trees(depth: int, cosine: float, recall: float) -> int:
+    """Hyperplane trees in which a pair at the cosine shares a leaf at least once, with probability ``recall``."""
+    together = (1 - math.acos(max(-1.0, min(1.0, cosine))) / math.pi) ** depth
+    return 1 if together > recall else math.ceil(math.log(1 - recall) / math.log1p(-together))
+
+
+def _bridges(members: DataFrame, dim: int, n: int, cosine: float, seed: int) -> DataFrame:
+    """(u, v) of components that link in a leaf, from (id, component, vec).
+
+    Every pair of a leaf that lies in two components is compared.  A node names one
+    other component a block at most: when components have merged, others show.
+    """
+    depth = max(0, min(30, math.ceil(math.log2(max(1, 4 * n // BLOCK)))))
+    trees = _trees(depth, cosine, LEAF_RECALL)
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        planes = np.random.default_rng(seed).standard_normal((dim, trees * depth))
+        for batch in batches:
+            side = (_unit(batch.column("vec")) @ planes > 0).reshape(batch.num_rows, trees, depth)
+            code = (side * (1 << np.arange(depth))).sum(axis=2) if depth else np.zeros((batch.num_rows, trees), np.int64)
+            row = pa.array(np.repeat(np.arange(batch.num_rows), trees))
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(row), batch.column("component").take(row), pa.array(np.tile(np.arange(trees), batch.num_rows)), pa.array(code.ravel().astype(np.int64))], ["id", "component", "tree", "leaf"])
+
+    placed = materialize(members.select("id", "component", "vec").mapInArrow(sign, "id long, component long, tree long, leaf long"), "bridge-leaves")
+    counts = placed.groupBy("tree", "leaf", "component").agg(F.count("*").alias("n"))
+    lead = F.max_by("component", F.struct("n", "component")).alias("lead")
+    sizes = counts.groupBy("tree", "leaf").agg(lead, F.sum("n").alias("n"), (F.sum("n") - F.max("n")).alias("others")).where("others > 0")
+    blocks = [F.ceil(F.col(c) / BLOCK).cast("int").alias(parts) for c, parts in (("others", "rows"), ("n", "columns"))]
+    cut = materialize(placed.join(materialize(sizes.select("tree", "leaf", "lead", *blocks), "bridge-sizes"), ["tree", "leaf"]), "bridge-parts")
+    part = {parts: F.pmod(F.xxhash64("id"), F.col(parts)).cast("int") for parts in ("rows", "columns")}
+    every = {parts: F.explode(F.sequence(F.lit(0), F.col(parts) - 1)) for parts in ("rows", "columns")}
+    kept = ["tree", "leaf", "id", "component"]
+    left = cut.where("component <> lead").select(*kept, part["rows"].alias("i"), every["columns"].alias("j"), F.lit(0).alias("side"))
+    right = cut.select(*kept, every["rows"].alias("i"), part["columns"].alias("j"), F.lit(1).alias("side"))
+    names = ["tree", "leaf", "i", "j"]
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, marks in grouped(batches, names, 2_000):
+            unit = _unit(table.column("vec").combine_chunks())
+            side, component = (table.column(c).to_numpy() for c in ("side", "component"))
+            for begin, end in zip(marks[:-1], marks[1:]):
+                middle = begin + int(np.searchsorted(side[begin:end], 1))
+                if middle in (begin, end):
+                    continue
+                u, v = component[begin:middle], component[middle:end]
+                hit = (unit[begin:middle] @ unit[middle:end].T >= cosine) & (u[:, None] != v)
+                linked = np.flatnonzero(hit.any(axis=1))
+                if len(linked):
+                    yield pa.RecordBatch.from_arrays([pa.array(u[linked]), pa.array(v[hit[linked].argmax(axis=1)])], ["u", "v"])
+
+    rows = left.union(right).join(members.select("id", "vec"), "id").repartition(*names).sortWithinPartitions(*names, "side", "id")
+    pairs = rows.mapInArrow(multiply, "u long, v long")
+    return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
+def _merged_components(inside: DataFrame, nodes: DataFrame, cosine: float) -> DataFrame:
+    """(id, component) of open components, merged while any of them link."""
+    seed = 1_000
+    while True:
+        members = inside.join(nodes.select("id", "vec"), "id")
+        pairs = None
+        for dim, n in sorted(members.groupBy(F.size("vec").alias("dim")).agg(F.count("*").alias("n")).collect()):
+            found = _bridges(members.where(F.size("vec") == dim), dim, n, cosine, seed)
+            pairs = found if pairs is None else pairs.union(found)
+        if pairs is None:
+            return inside
+        pairs = materialize(pairs, "bridges")
+        if pairs.isEmpty():
+            return inside
+        names = components(pairs).select(F.col("id").alias("component"), F.col("component").alias("name"))
+        inside = inside.join(names, "component", "left").select("id", F.coalesce("name", "component").alias("component"))
+        inside = materialize(inside, "merged-components")
+        seed += 1
+
+
 def _first_lists(nodes: DataFrame, dim: int, leaves: int, seed: int, k: int) -> DataFrame:
     """Neighbours within leaves of random hyperplane trees."""
     depth = max(0, min(30, math.ceil(math.log2(max(1, leaves)))))
@@ -190,11 +270,13 @@ def _audit(nodes: DataFrame, audited: list, cosine: float) -> dict[int, set[int]
     return nodes.select("id", "vec").mapInArrow(compare, "id long, nbr long")
 
 
-def _recall(graph: DataFrame, truth: DataFrame, cosine: float) -> float:
-    """Share of the audited links that are in a list, or whose list is saturated."""
-    lists = graph.select("id", "nbrs", F.element_at("sims", -1).alias("worst"), F.size("nbrs").alias("n"))
-    joined = truth.join(lists, "id", "left")
-    held = F.array_contains("nbrs", F.col("nbr")) | (F.col("worst") >= cosine)
+def _recall(graph: DataFrame, truth: DataFrame, cosine: float, k: int) -> float:
+    """Share of the audited links that are in the list of either end, or both of whose lists are saturated."""
+    full = (F.size("sims") >= k) & (F.element_at("sims", -1) >= cosine)
+    lists = graph.select("id", "nbrs", full.alias("full"))
+    other = lists.toDF("nbr", "back", "full_back")
+    joined = truth.join(lists, "id", "left").join(other, "nbr", "left")
+    held = F.array_contains("nbrs", F.col("nbr")) | F.array_contains("back", F.col("id")) | (F.col("full") & F.col("full_back"))
     found, total = joined.agg(F.count(F.when(held, 1)), F.count("*")).first()
     return found / total if total else 1.0
 
@@ -208,7 +290,7 @@ def neighbour_graph(nodes: DataFrame, dim: int, n: int, cosine: float) -> tuple[
     for audit in range(AUDITS):
         for _ in range(ROUNDS):
             graph = materialize(_round(graph, nodes, k), "descent-lists")
-        if _recall(graph, truth, cosine) >= RECALL:
+        if _recall(graph, truth, cosine, k) >= RECALL:
             break
         k *= 2  # longer lists, and leaves of other hyperplanes to start from
         more = _first_lists(nodes, dim, 4 * n // BLOCK, audit + 2, k)
@@ -268,7 +350,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     found = materialize(components(edges), "vector-components")
 
     open_ids = found.join(saturated.distinct(), "id").select("component").distinct()
-    inside = materialize(found.join(open_ids, "component", "left_semi"), "open-components")
+    inside = materialize(found.join(open_ids, "component", "left_semi").select("id", "component"), "open-components")
+    inside = _merged_components(inside, nodes, cosine)
+    found = found.join(inside.select("id"), "id", "left_anti").select("id", "component").union(inside)
     complete = _component_products(inside.join(nodes, "id"), cosine)
     rest = edges.join(inside.select(F.col("id").alias("u")), "u", "left_anti")
     both = rest.union(rest.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -62,3 +62,16 @@ def test_repeated_rows_null_ids_and_no_rows(spark):
     assert e.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
     extra = spark.createDataFrame([(1, [1.0, 0.0], 3, 4)], "vec_id long, embedding array<float>, id int, twins int")
     assert e.near_duplicates(extra).count() == 1
+
+
+def test_links_between_groups_that_fill_their_lists(spark):
+    rng = np.random.default_rng(5)
+    sizes, dims = (40, 60), 16
+    values = []
+    for size, centre in zip(sizes, (0.0, np.arccos(0.955))):
+        for _ in range(size):
+            values.append(np.append([np.cos(centre), np.sin(centre)], 0.01 * rng.standard_normal(dims - 2)))
+    values = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(values)]
+    want = brute_force(values)
+    assert {r[1] for r in want} == {99}
+    assert sorted(map(tuple, e.near_duplicates(spark.createDataFrame(values, SCHEMA)).collect())) == want
