@@ -5,8 +5,9 @@
 3. Rounds of neighbours-of-neighbours joins refine it: the members of each node's
    list, and of a bounded number of lists that hold it, meet in one local join,
    and every pair that improves either list is kept.
-4. An audit compares a bounded set of nodes with all others, in blocks; while too
-   few of their links were found, lists are doubled and more rounds follow.
+4. An audit compares blocks of nodes with all others until it has seen enough
+   links; while too few of them were found, lists are doubled and more rounds
+   follow.  If the last audit fails too, lists come from all pairs, block by block.
 5. Edges at the threshold stay and form components.  A list whose every entry is
    a link is saturated: it may lack more.  Components that hold one are open.
    Their members meet those of other components in hyperplane leaves, without
@@ -37,14 +38,18 @@ from ratingloom.scratch import materialize
 
 #: Least cosine of a link.
 COSINE = 0.95
-#: Entries of a neighbour list at first, trees of hyperplanes, and rounds between audits.
-NEIGHBOURS, TREES, ROUNDS = 12, 6, 2
-#: Share of the pairs at the threshold that must meet in a leaf where components merge.
+#: Entries of a neighbour list at first, and rounds between audits.
+NEIGHBOURS, ROUNDS = 12, 2
+#: Share of the pairs at the threshold that must meet in a leaf; the number of trees follows from it.
 LEAF_RECALL = 0.99
 #: Nodes of a block; leaves aim at a quarter of it.
 BLOCK = 256
-#: Nodes that the audit compares with all others, recall it asks for, and most audits.
-AUDITED, RECALL, AUDITS = 256, 0.99, 4
+#: Hyperplanes of the trees that cut an overfull leaf; what they leave overfull is cut by hash.
+DEEPER = 4
+#: Nodes of the audit's first block, and of its largest; links it must see, recall it asks for, and most audits.
+AUDITED, AUDIT_BLOCK, AUDIT_LINKS, RECALL, AUDITS = 256, 4_096, 300, 0.99, 4
+#: Nodes on each side of a block product over all pairs.
+PRODUCT = 1_024
 
 _LISTS = "id long, nbrs array<long>, sims array<double>"
 
@@ -152,14 +157,9 @@ def _trees(depth: int, cosine: float, recall: float) -> int:
     return 1 if together > recall else math.ceil(math.log(1 - recall) / math.log1p(-together))
 
 
-def _bridges(members: DataFrame, dim: int, n: int, cosine: float, seed: int) -> DataFrame:
-    """(u, v) of components that link in a leaf, from (id, component, vec).
-
-    Every pair of a leaf that lies in two components is compared.  A node names one
-    other component a block at most: when components have merged, others show.
-    """
-    depth = max(0, min(30, math.ceil(math.log2(max(1, 4 * n // BLOCK)))))
-    trees = _trees(depth, cosine, LEAF_RECALL)
+def _signed(rows: DataFrame, dim: int, depth: int, trees: int, seed: int) -> DataFrame:
+    """(…, tree, leaf) for each row of (…, vec) and each tree of random hyperplanes."""
+    names = [c for c in rows.columns if c != "vec"]
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes = np.random.default_rng(seed).standard_normal((dim, trees * depth))
@@ -167,9 +167,26 @@ def _bridges(members: DataFrame, dim: int, n: int, cosine: float, seed: int) ->
             side = (_unit(batch.column("vec")) @ planes > 0).reshape(batch.num_rows, trees, depth)
             code = (side * (1 << np.arange(depth))).sum(axis=2) if depth else np.zeros((batch.num_rows, trees), np.int64)
             row = pa.array(np.repeat(np.arange(batch.num_rows), trees))
-            yield pa.RecordBatch.from_arrays([batch.column("id").take(row), batch.column("component").take(row), pa.array(np.tile(np.arange(trees), batch.num_rows)), pa.array(code.ravel().astype(np.int64))], ["id", "component", "tree", "leaf"])
+            tree = pa.array(np.tile(np.arange(trees), batch.num_rows))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(row) for c in names), tree, pa.array(code.ravel().astype(np.int64))], [*names, "tree", "leaf"])
+
+    return rows.mapInArrow(sign, ", ".join(f"{c} long" for c in [*names, "tree", "leaf"]))
+
+
+def _depth(n: int) -> int:
+    """Hyperplanes to leaves of a quarter of a block."""
+    return max(0, min(30, math.ceil(math.log2(max(1, 4 * n / BLOCK)))))
+
+
+def _bridges(members: DataFrame, dim: int, n: int, cosine: float, seed: int) -> DataFrame:
+    """(u, v) of components that link in a leaf, from (id, component, vec).
 
-    placed = materialize(members.select("id", "component", "vec").mapInArrow(sign, "id long, component long, tree long, leaf long"), "bridge-leaves")
+    Every pair of a leaf that lies in two components is compared.  A node names one
+    other component a block at most: when components have merged, others show.
+    """
+    depth = _depth(n)
+    placed = _signed(members.select("id", "component", "vec"), dim, depth, _trees(depth, cosine, LEAF_RECALL), seed)
+    placed = materialize(placed, "bridge-leaves")
     counts = placed.groupBy("tree", "leaf", "component").agg(F.count("*").alias("n"))
     lead = F.max_by("component", F.struct("n", "component")).alias("lead")
     sizes = counts.groupBy("tree", "leaf").agg(lead, F.sum("n").alias("n"), (F.sum("n") - F.max("n")).alias("others")).where("others > 0")
@@ -221,22 +238,25 @@ def _merged_components(inside: DataFrame, nodes: DataFrame, cosine: float) -> Da
         seed += 1
 
 
-def _first_lists(nodes: DataFrame, dim: int, leaves: int, seed: int, k: int) -> DataFrame:
-    """Neighbours within leaves of random hyperplane trees."""
-    depth = max(0, min(30, math.ceil(math.log2(max(1, leaves)))))
+def _first_lists(nodes: DataFrame, dim: int, n: int, cosine: float, seed: int, k: int) -> DataFrame:
+    """Neighbours within leaves of random hyperplane trees.
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        planes = np.random.default_rng(seed).standard_normal((dim, TREES * depth))
-        for batch in batches:
-            side = (_unit(batch.column("vec")) @ planes > 0).reshape(batch.num_rows, TREES, depth)
-            code = (side * (1 << np.arange(depth))).sum(axis=2) if depth else np.zeros((batch.num_rows, TREES), np.int64)
-            row = np.repeat(np.arange(batch.num_rows), TREES)
-            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(row)), pa.array(np.tile(np.arange(TREES), batch.num_rows)), pa.array(code.ravel().astype(np.int64))], ["id", "tree", "leaf"])
-
-    placed = materialize(nodes.select("id", "vec").mapInArrow(sign, "id long, tree long, leaf long"), "leaves")
-    sizes = placed.groupBy("tree", "leaf").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
-    cut = placed.join(materialize(sizes, "leaf-sizes"), ["tree", "leaf"]).withColumn("part", F.pmod(F.xxhash64("id", "tree"), F.col("parts")))
-    return _merged(_block_lists(cut.select("tree", "leaf", "part", "id").join(nodes.select("id", "vec"), "id"), ["tree", "leaf", "part"], k), k)
+    A pair at the cosine shares a leaf with probability LEAF_RECALL at any n, and,
+    where that leaf is overfull, one of the smaller leaves that further trees cut from it.
+    """
+    depth = _depth(n)
+    rows = nodes.select("id", "vec")
+    placed = materialize(_signed(rows, dim, depth, _trees(depth, cosine, LEAF_RECALL), seed), "leaves")
+    sizes = placed.groupBy("tree", "leaf").agg(F.count("*").alias("n"))
+    overfull = materialize(sizes.where(F.col("n") > BLOCK).select("tree", "leaf"), "overfull-leaves")
+    fit = placed.join(overfull, ["tree", "leaf"], "left_anti").withColumns({"sub": F.lit(-1).cast("long"), "code": F.lit(0).cast("long"), "parts": F.lit(1).cast("long")})
+    finer = _signed(rows, dim, DEEPER, _trees(DEEPER, cosine, LEAF_RECALL), seed + 500).toDF("id", "sub", "code")
+    again = materialize(placed.join(overfull, ["tree", "leaf"], "left_semi").join(finer, "id"), "finer-leaves")
+    names = ["tree", "leaf", "sub", "code"]
+    parts = materialize(again.groupBy(names).agg(F.ceil(F.count("*") / BLOCK).alias("parts")), "leaf-sizes")
+    cut = fit.unionByName(again.join(parts, names)).withColumn("part", F.pmod(F.xxhash64("id", "tree", "sub"), F.col("parts")))
+    names.append("part")
+    return _merged(_block_lists(cut.select(*names, "id").join(rows, "id"), names, k), k)
 
 
 def _round(graph: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
@@ -253,23 +273,43 @@ def _round(graph: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
     return _merged(found.union(graph.select("id", "nbrs", "sims")), k)
 
 
-def _audit(nodes: DataFrame, audited: list, cosine: float) -> dict[int, set[int]]:
-    """Links of the audited nodes by comparison with every node, up to a list's worth each."""
+def _audit(nodes: DataFrame, audited: list, cosine: float) -> DataFrame:
+    """(id, nbr): all links of the audited nodes, by comparison with every node."""
     ids = np.array([r["id"] for r in audited], np.int64)
     vectors = np.array([r["vec"] for r in audited], np.float64)
     vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)
     vectors /= np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            other = batch.column("id").to_numpy()
-            q, r = np.nonzero(vectors @ _unit(batch.column("vec")).T >= cosine)
-            apart = ids[q] != other[r]
-            yield pa.RecordBatch.from_arrays([pa.array(ids[q][apart]), pa.array(other[r][apart])], ["id", "nbr"])
+        for whole in batches:
+            for begin in range(0, whole.num_rows, PRODUCT):
+                batch = whole.slice(begin, PRODUCT)
+                other = batch.column("id").to_numpy()
+                q, r = np.nonzero(vectors @ _unit(pa.array(batch.column("vec"))).T >= cosine)
+                apart = ids[q] != other[r]
+                yield pa.RecordBatch.from_arrays([pa.array(ids[q][apart]), pa.array(other[r][apart])], ["id", "nbr"])
 
     return nodes.select("id", "vec").mapInArrow(compare, "id long, nbr long")
 
 
+def _audit_links(nodes: DataFrame, cosine: float) -> DataFrame:
+    """Links of as many nodes, in hash order, as it takes to see AUDIT_LINKS of them; of all nodes if there are fewer."""
+    order = F.struct(F.xxhash64("id").alias("hash"), "id").alias("place")
+    dealt = materialize(nodes.select(order, "id", "vec"), "audit-order")
+    truth, seen, last, size = None, 0, None, AUDITED
+    while True:
+        rest = dealt if last is None else dealt.where((F.col("place.hash") > last["hash"]) | ((F.col("place.hash") == last["hash"]) & (F.col("place.id") > last["id"])))
+        audited = rest.orderBy("place").limit(size).collect()
+        if not audited:
+            return truth
+        links = materialize(_audit(nodes, audited, cosine), "audit-links")
+        truth = links if truth is None else truth.union(links)
+        seen += links.count()
+        if seen >= AUDIT_LINKS or len(audited) < size:
+            return truth
+        last, size = audited[-1]["place"], min(2 * size, AUDIT_BLOCK)
+
+
 def _recall(graph: DataFrame, truth: DataFrame, cosine: float, k: int) -> float:
     """Share of the audited links that are in the list of either end, or both of whose lists are saturated."""
     full = (F.size("sims") >= k) & (F.element_at("sims", -1) >= cosine)
@@ -281,21 +321,30 @@ def _recall(graph: DataFrame, truth: DataFrame, cosine: float, k: int) -> float:
     return found / total if total else 1.0
 
 
+def _lists_of_all_pairs(nodes: DataFrame, n: int, k: int) -> DataFrame:
+    """Exact lists: every block of nodes meets every other."""
+    parts = math.ceil(n / PRODUCT)
+    dealt = nodes.select("id", "vec", F.pmod(F.xxhash64("id"), F.lit(parts)).alias("part"))
+    cells = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+    cells = cells.select(F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "id", "vec")
+    return _merged(_block_lists(cells, ["i", "j"], k), k)
+
+
 def neighbour_graph(nodes: DataFrame, dim: int, n: int, cosine: float) -> tuple[DataFrame, int]:
     """(id, nbrs, sims) of nodes of one length, and the length of the lists."""
     k = NEIGHBOURS
-    graph = materialize(_first_lists(nodes, dim, 4 * n // BLOCK, 1, k), "first-lists")
-    audited = nodes.orderBy(F.xxhash64("id"), "id").limit(AUDITED).select("id", "vec").collect()
-    truth = materialize(_audit(nodes, audited, cosine), "audit-links")
+    truth = _audit_links(nodes, cosine)
+    graph = materialize(_first_lists(nodes, dim, n, cosine, 1, k), "first-lists")
     for audit in range(AUDITS):
         for _ in range(ROUNDS):
             graph = materialize(_round(graph, nodes, k), "descent-lists")
         if _recall(graph, truth, cosine, k) >= RECALL:
-            break
-        k *= 2  # longer lists, and leaves of other hyperplanes to start from
-        more = _first_lists(nodes, dim, 4 * n // BLOCK, audit + 2, k)
-        graph = materialize(_merged(more.union(graph.select("id", "nbrs", "sims")), k), "longer-lists")
-    return graph, k
+            return graph, k
+        if audit + 1 < AUDITS:
+            k *= 2  # longer lists, and leaves of other hyperplanes to start from
+            more = _first_lists(nodes, dim, n, cosine, audit + 2, k)
+            graph = materialize(_merged(more.union(graph.select("id", "nbrs", "sims")), k), "longer-lists")
+    return materialize(_lists_of_all_pairs(nodes, n, k), "exact-lists"), k
 
 
 def _component_products(members: DataFrame, cosine: float) -> DataFrame:

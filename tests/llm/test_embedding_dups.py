@@ -75,3 +75,25 @@ def test_links_between_groups_that_fill_their_lists(spark):
     want = brute_force(values)
     assert {r[1] for r in want} == {99}
     assert sorted(map(tuple, e.near_duplicates(spark.createDataFrame(values, SCHEMA)).collect())) == want
+
+
+@pytest.mark.parametrize("depth", [4, 8, 14, 18])
+def test_leaf_recall_holds_at_any_depth(depth):
+    together = (1 - np.arccos(e.COSINE) / np.pi) ** depth
+    assert 1 - (1 - together) ** e._trees(depth, e.COSINE, e.LEAF_RECALL) >= e.LEAF_RECALL
+    assert e._trees(0, e.COSINE, e.LEAF_RECALL) == 1
+
+
+def test_audit_sees_rare_links_and_failed_audits_end_exact(spark, monkeypatch):
+    values = clusters(6, 24, [1] * 900 + [2], 0.05)
+    nodes = spark.createDataFrame([(i, 1, v) for i, v in values], "id long, twins long, vec array<float>").localCheckpoint()
+    monkeypatch.setattr(e, "AUDITED", 32)
+    linked = {r[0] for r in brute_force(values) if r[1]}
+    assert len(linked) == 2
+    assert {r["id"] for r in e._audit_links(nodes, e.COSINE).collect()} == linked
+
+    empty = spark.createDataFrame([], e._LISTS)
+    monkeypatch.setattr(e, "_first_lists", lambda *a: empty)
+    monkeypatch.setattr(e, "_round", lambda *a: empty)
+    graph, _ = e.neighbour_graph(nodes, 24, len(values), e.COSINE)
+    assert {r["id"] for r in graph.collect() if r["sims"][0] >= e.COSINE} == linked
