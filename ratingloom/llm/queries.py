@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.llm import bpe, embedding_dups, jaccard, language_id, mixing, ngram_trie, passages, perplexity, quality_rules, sharding
+from ratingloom.llm import bpe, centroid_clustering, embedding_dups, jaccard, language_id, mixing, ngram_trie, passages, perplexity, quality_rules, sharding
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -75,6 +75,11 @@ def op9_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar_documents(_table(spark, folder, "documents"))
 
 
+def op11_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    """Every whole vector's cluster after ten rounds, its distance, and the inertias."""
+    return centroid_clustering.with_inertia(*centroid_clustering.cluster(_table(spark, folder, "embeddings")))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_passages": op2_passages,
@@ -86,11 +91,50 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_jaccard": op9_jaccard,
     "op10_mixing": op10_mixing,
+    "op11_centroid_clustering": op11_centroid_clustering,
 }
 
+
+
+def _centroid_rounds(rounds: int) -> str:
+    """Rounds of assignment and exact floors of means, one CTE each."""
+    parts = []
+    for n in range(rounds + 1):
+        parts.append(f"""
+        a{n} AS MATERIALIZED (
+            SELECT r, min(d * 8 + k) AS best
+            FROM (SELECT r, k, sum((x - c) * (x - c))::BIGINT AS d FROM cells JOIN c{n} USING (i) GROUP BY r, k) GROUP BY r)""")
+        if n < rounds:
+            parts.append(f"""
+        c{n + 1} AS MATERIALIZED (
+            SELECT c{n}.k, c{n}.i, coalesce((s - ((s % n) + n) % n) // n, c) AS c
+            FROM c{n} LEFT JOIN (
+                SELECT best % 8 AS k, i, sum(x)::BIGINT AS s, count(*) AS n FROM cells JOIN a{n} USING (r) GROUP BY best % 8, i
+            ) m ON m.k = c{n}.k AND m.i = c{n}.i)""")
+    return ",".join(parts)
+
+
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES: dict[str, str] = {
+    "op11_centroid_clustering": f"""
+        WITH kept AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id,
+                   list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        cells AS MATERIALIZED (SELECT r, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM kept),
+        c0 AS MATERIALIZED (
+            SELECT k, unnest(v) AS c, generate_subscripts(v, 1) AS i
+            FROM (SELECT v, row_number() OVER (ORDER BY sha256('3:' || vec_id) NULLS LAST, v) - 1 AS k FROM kept) WHERE k < 8),
+        {_centroid_rounds(centroid_clustering.ROUNDS)},
+        digests AS (
+            SELECT k, sha256(string_agg(c::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM c{centroid_clustering.ROUNDS} GROUP BY k),
+        assigned AS (SELECT vec_id, best % 8 AS k, best // 8 AS distance FROM kept JOIN a{centroid_clustering.ROUNDS} USING (r))
+        SELECT vec_id, k::INTEGER AS cluster, distance,
+               (sum(distance) OVER (PARTITION BY k))::BIGINT AS cluster_inertia,
+               (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256
+        FROM assigned JOIN digests USING (k)""",
     "op9_jaccard": f"""
         WITH RECURSIVE split AS (
             SELECT doc_id,
