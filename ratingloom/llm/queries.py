@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.llm import bpe, centroid_clustering, embedding_dups, jaccard, language_id, mixing, ngram_trie, passages, perplexity, quality_rules, sharding
+from ratingloom.llm import bpe, centroid_clustering, conversation_repair, embedding_dups, jaccard, language_id, mixing, ngram_trie, passages, perplexity, quality_rules, sharding
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -80,6 +80,32 @@ def op11_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
     return centroid_clustering.with_inertia(*centroid_clustering.cluster(_table(spark, folder, "embeddings")))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """conv_id, turn, role and text after the faults that a hash of (conv_id, turn) deals out; a null is one space."""
+    space = F.lit(" ")
+    name = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    dealt = conversations.select(
+        "conv_id", "turn", F.coalesce("role", space).alias("role"), F.coalesce("text", space).alias("text"), (F.crc32(name) % 20).alias("fault")
+    ).where("fault <> 0")
+    text = F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("fault") == 4, "user").otherwise(F.col("role"))
+    copies = F.when(F.col("fault") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return dealt.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(copies).alias("_copy")).drop("_copy")
+
+
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """What the damage did to every conversation, the cheapest repair, and the hash of the repaired rows."""
+    conversations = _table(spark, folder, "conversations")
+    summary, repaired = conversation_repair.repair(damaged(conversations))
+    hashes = conversation_repair.digests(repaired)
+    found = conversations.select("conv_id").distinct()
+    found = found.join(summary, F.col("conv_id").eqNullSafe(F.col("conv")), "left").drop("conv")
+    found = found.join(hashes, F.col("conv_id").eqNullSafe(F.col("conv")), "left").drop("conv")
+    numbers = [F.coalesce(name, F.lit(0).cast("long")).alias(name) for name in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    nothing = F.sha2(F.lit(""), 256)
+    return found.select("conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_passages": op2_passages,
@@ -92,6 +118,7 @@ QUERIES = {
     "op9_jaccard": op9_jaccard,
     "op10_mixing": op10_mixing,
     "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 
 
