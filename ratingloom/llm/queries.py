@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.llm import bpe, centroid_clustering, conversation_repair, embedding_dups, jaccard, language_id, mixing, ngram_trie, passages, perplexity, quality_rules, sharding
+from ratingloom.llm import bpe, centroid_clustering, conversation_repair, embedding_dups, jaccard, language_id, mixing, multi_index_hashing, ngram_trie, passages, perplexity, quality_rules, sharding
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -15,6 +15,8 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 #: Shards of op7, and the most epochs of a source in op10.
 SHARDS, REPETITION = 24, 2.0
+#: op13 asks for vectors whose id this divides, and for so many neighbours.
+ASKED, NEAREST = 20, 20
 
 
 def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -106,6 +108,12 @@ def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"))
 
 
+def op13_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 largest inner products found for every twentieth vector."""
+    vectors = _table(spark, folder, "embeddings")
+    return multi_index_hashing.nearest(vectors, F.col("vec_id") % ASKED == 0, NEAREST)
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_passages": op2_passages,
@@ -119,6 +127,7 @@ QUERIES = {
     "op10_mixing": op10_mixing,
     "op11_centroid_clustering": op11_centroid_clustering,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_nearest_neighbours": op13_nearest_neighbours,
 }
 
 
