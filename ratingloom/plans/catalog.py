@@ -36,6 +36,8 @@ ORACLES: dict[str, str] = {}
 # Light buyers and parts both exist below this count in the given tables.
 MINIMUM = 30
 K = 10
+# A minimum whose core is not empty in the given tables and takes several rounds, and rounds that surely do.
+CORE_MINIMUM, CORE_ROUNDS = 22, 16
 
 _RATINGS = """
 ratings AS (
@@ -208,6 +210,29 @@ def min_interactions(spark, folder):
     return _kept(spark, folder)
 
 
+def _peeled(rounds: int) -> str:
+    """Rounds of the threshold pass, each on what the one before has left."""
+    steps = [f"""
+r{n + 1} AS MATERIALIZED (
+  SELECT * FROM r{n}
+  WHERE user_id IN (SELECT user_id FROM r{n} GROUP BY 1 HAVING count(*) >= {CORE_MINIMUM})
+    AND item_id IN (SELECT item_id FROM r{n} GROUP BY 1 HAVING count(*) >= {CORE_MINIMUM}))""" for n in range(rounds)]
+    return f"WITH {_RATINGS}, r0 AS MATERIALIZED (SELECT * FROM ratings), {','.join(steps)} SELECT * FROM r{rounds}"
+
+
+@query("k_core", _peeled(CORE_ROUNDS))
+def k_core(spark, folder):
+    """Ratings of the users and items that stay when the threshold pass is repeated until nothing falls."""
+    ratings = materialize(inputs.ratings(spark, folder), "ratings")
+    return thresholds.min_interactions(ratings, CORE_MINIMUM, iterations=None)
+
+
+@query("min_interactions_twice", _peeled(2))
+def min_interactions_twice(spark, folder):
+    ratings = materialize(inputs.ratings(spark, folder), "ratings")
+    return thresholds.min_interactions(ratings, CORE_MINIMUM, iterations=2)
+
+
 def _map(spark: SparkSession, folder: str, key: str, index: str) -> DataFrame:
     return indexing.dense_index(_kept(spark, folder), key, index).rows.drop("cnt").orderBy(index)
 

@@ -26,6 +26,7 @@ def preprocess_reviews(
     minimum: int = 5,
     fmt: str | None = None,
     columns: Mapping[str, str] | None = None,
+    iterations: int | None = 1,
 ) -> dict[str, str]:
     """Clean, threshold, index and write; returns the written paths.
 
@@ -39,7 +40,7 @@ def preprocess_reviews(
         # JSON whose columns had to be found is in a scratch table already.
         if fmt in ("csv", "tsv") or (fmt == "json" and columns is not None):
             clean = materialize(clean, "clean")
-        kept = materialize(min_interactions(clean, minimum), "kept")
+        kept = materialize(min_interactions(clean, minimum, iterations=iterations), "kept")
         indexed = index_ids(kept)
         written = {
             "interactions": tables.write_table(
@@ -64,10 +65,13 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--input", required=True)
     parser.add_argument("--output", required=True)
     parser.add_argument("--min-interactions", type=int, default=5)
+    parser.add_argument("--iterations", type=int, default=1, help="threshold passes; 0 repeats them until nothing falls")
     parser.add_argument("--format", choices=["csv", "tsv", "json", "parquet"])
     args = parser.parse_args(argv)
     spark = open_session("ratingloom-etl")
-    paths = preprocess_reviews(spark, args.input, args.output, args.min_interactions, args.format)
+    paths = preprocess_reviews(
+        spark, args.input, args.output, args.min_interactions, args.format, iterations=args.iterations or None
+    )
     for name, path in paths.items():
         print(f"{name}\t{spark.read.parquet(path).count()} rows\t{path}")
 
