@@ -65,9 +65,12 @@ def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
     return scored.select(*pairs.columns, score.alias("prediction"))
 
 
-def recommend_for_users(model: ALSModel, users: DataFrame, n: int = 10) -> DataFrame:
-    """(user_idx, rank, item_idx, score) for the requested ``user_idx`` values."""
+def recommend_for_users(model: ALSModel, users: DataFrame, n: int = 10, seen: DataFrame | None = None) -> DataFrame:
+    """(user_idx, rank, item_idx, score) for the requested ``user_idx`` values.
+
+    Pairs (user_idx, item_idx) of ``seen`` are left out.
+    """
     vectors = model.userFactors.select(F.col("id").alias("user_idx"), "features")
     items = model.itemFactors.select(F.col("id").alias("item_idx"), "features")
     wanted = vectors.join(users.select("user_idx").distinct(), "user_idx", "left_semi")
-    return top_n(materialize(wanted, "wanted-users"), items, n, "user_idx", "item_idx")
+    return top_n(materialize(wanted, "wanted-users"), items, n, "user_idx", "item_idx", seen=seen)

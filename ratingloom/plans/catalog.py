@@ -722,6 +722,68 @@ def recommend_with_fallback(spark, folder):
     return recs.select("user_id", "rank", "item_id", *_six("score"), "source")
 
 
+def _parts_and_events(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Subjects, user map and item map of ``recommend_with_fallback``."""
+    users = inputs.table(spark, folder, "events").select(
+        F.col("user_id").cast("int").alias("user_idx"), F.col("user_id").cast("string").alias("user_id")
+    )
+    items = inputs.table(spark, folder, "part").select(
+        F.col("p_partkey").cast("int").alias("item_idx"), F.concat(F.lit("part-"), "p_partkey").alias("item_id")
+    )
+    subjects = inputs.table(spark, folder, "customer").select(F.col("c_custkey").cast("string").alias("user_id"))
+    return subjects, users.distinct(), items
+
+
+@query(
+    "recommend_unseen",
+    f"""WITH {_FACTORS}, {_EVENT_POPULAR},
+    subjects AS (SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS user_id FROM customer),
+    user_map AS (SELECT DISTINCT CAST(user_id AS INTEGER) AS user_idx, CAST(user_id AS VARCHAR) AS user_id
+                 FROM events),
+    item_map AS (SELECT CAST(p_partkey AS INTEGER) AS item_idx, 'part-' || p_partkey AS item_id FROM part),
+    known AS (SELECT user_id, user_idx, u FROM subjects JOIN user_map USING (user_id) JOIN user_factors USING (user_idx)),
+    seen AS (
+      SELECT DISTINCT CAST(o_custkey AS INTEGER) AS user_idx, CAST(l_partkey AS INTEGER) AS item_idx
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+      UNION
+      SELECT CAST(o_custkey % 40 * 14 AS INTEGER), CAST(l_partkey AS INTEGER) FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+      UNION
+      SELECT CAST(o_custkey % 40 * 5 AS INTEGER), CAST(l_partkey % 100 AS INTEGER) FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+    scored AS (
+      SELECT user_id, item_idx, list_dot_product(u, v) AS score FROM known, item_factors
+      WHERE (user_idx, item_idx) NOT IN (SELECT (user_idx, item_idx) FROM seen)),
+    ranked AS (
+      SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, item_idx) AS INTEGER) AS rank
+      FROM scored),
+    others AS (
+      SELECT user_id, item_idx, count_ratings,
+             CAST(row_number() OVER (PARTITION BY user_id ORDER BY count_ratings DESC, item_idx) AS INTEGER) AS rank
+      FROM subjects LEFT JOIN user_map USING (user_id), popular
+      WHERE user_id NOT IN (SELECT user_id FROM known)
+        AND NOT EXISTS (SELECT 1 FROM seen WHERE seen.user_idx = user_map.user_idx AND seen.item_idx = popular.item_idx))
+    SELECT user_id, rank, coalesce(item_id, CAST(item_idx AS VARCHAR)) AS item_id,
+           round(score, 6) AS score, 'als' AS source
+    FROM ranked LEFT JOIN item_map USING (item_idx) WHERE rank <= 10
+    UNION ALL
+    SELECT user_id, rank, coalesce(item_id, CAST(item_idx AS VARCHAR)), CAST(count_ratings AS DOUBLE), 'popularity'
+    FROM others LEFT JOIN item_map USING (item_idx) WHERE rank <= 10""",
+)
+def recommend_unseen(spark, folder):
+    """Without what a customer has bought; some customers also share what others bought."""
+    users, items = _factors(spark, folder)
+    subjects, user_map, item_map = _parts_and_events(spark, folder)
+    popular = materialize(_event_popularity(spark, folder), "popular")
+    buyer, part = F.col("o_custkey"), F.col("l_partkey")
+    views = F.array(
+        F.struct(buyer.cast("int").alias("user_idx"), part.cast("int").alias("item_idx")),
+        F.struct((buyer % 40 * 14).cast("int").alias("user_idx"), part.cast("int").alias("item_idx")),
+        F.struct((buyer % 40 * 5).cast("int").alias("user_idx"), (part % 100).cast("int").alias("item_idx")),
+    )
+    seen = inputs.order_lines(spark, folder).select(F.explode(views).alias("view")).select("view.*")
+    recs = recommending.recommend(subjects, users, items, user_map, item_map, popular, 10, materialize(seen, "seen"))
+    return recs.select("user_id", "rank", "item_id", *_six("score"), "source")
+
+
 @query(
     "similar_items",
     f"""WITH {_EVENT_POPULAR},

@@ -22,9 +22,12 @@ from ratingloom.sources.models import load_factors
 
 
 def recommendation_table(
-    spark: SparkSession, tables_dir: str, model_path: str, users: DataFrame | None = None, n: int = 10
+    spark: SparkSession, tables_dir: str, model_path: str, users: DataFrame | None = None, n: int = 10, exclude_seen: bool = False
 ) -> DataFrame:
-    """Recommendations for ``users`` (``user_id``), by default for every mapped user."""
+    """Recommendations for ``users`` (``user_id``), by default for every mapped user.
+
+    ``exclude_seen`` leaves out what a user has an interaction with.
+    """
     user_factors, item_factors = load_factors(spark, model_path)
     user_map = tables.read_or_empty(spark, tables_dir, tables.USER_MAP)
     return recommend(
@@ -35,6 +38,7 @@ def recommendation_table(
         tables.read_or_empty(spark, tables_dir, tables.ITEM_MAP),
         tables.read_or_empty(spark, tables_dir, tables.POPULAR_ITEMS),
         n,
+        tables.read_table(spark, tables_dir, tables.INTERACTIONS) if exclude_seen else None,
     )
 
 
