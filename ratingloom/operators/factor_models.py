@@ -1,4 +1,4 @@
-"""Explicit-feedback matrix factorisation with MLlib's ALS."""
+"""Matrix factorisation of explicit or implicit feedback with MLlib's ALS."""
 
 from __future__ import annotations
 
@@ -24,11 +24,14 @@ def fit_als(
     maxIter: int = 10,
     seed: int = 42,
     blocks: int = BLOCKS,
+    implicit: bool = False,
 ) -> ALSModel:
     """Fit factors on (user_idx, item_idx, rating).
 
-    ``alpha`` is accepted for completeness; it has no effect on explicit
-    ratings.  ``blocks`` cuts users and items; give more for more ratings than
+    With ``implicit`` a rating is how often or how long something was used: a
+    positive one is a preference, held with a confidence of 1 + ``alpha`` times it,
+    and every pair without one is weakly taken for the lack of a preference.
+    Otherwise ``alpha`` has no effect.  ``blocks`` cuts users and items; give more for more ratings than
     ten tasks should hold, and the same number to get the same model.  Factors
     are checkpointed in the shared folder every few iterations, so a lost executor
     does not replay the whole fit.
@@ -41,6 +44,7 @@ def fit_als(
         rank=rank,
         regParam=regParam,
         alpha=alpha,
+        implicitPrefs=implicit,
         maxIter=maxIter,
         seed=seed,
         numUserBlocks=blocks,

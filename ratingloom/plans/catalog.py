@@ -11,6 +11,7 @@ from ratingloom.functions import vectors as vec
 from ratingloom.operators import (
     cleaning,
     factor_models,
+    fold_in,
     grid,
     indexing,
     item_details,
@@ -842,22 +843,50 @@ def als_predict(spark, folder):
     return mine.join(theirs, ["user_idx", "item_idx"]).select("user_idx", "item_idx", "rating", close.alias("is_dot_product"))
 
 
-def _gradients(pairs: DataFrame, users: DataFrame, items: DataFrame, key: str) -> DataFrame:
-    """(key, num_ratings, size): the largest entry of the loss's gradient at each ``key``."""
+def _gradients(pairs: DataFrame, users: DataFrame, items: DataFrame, key: str, rank: int, alpha: float | None = None) -> DataFrame:
+    """(key, num_ratings, size): the largest entry of the loss's gradient at each ``key``.
+
+    With ``alpha`` the loss of implicit feedback, whose unseen pairs enter by the Gram matrix.
+    """
     own, other = ("p", "q") if key == "user_idx" else ("q", "p")
-    error = vec.dot(F.col("p"), F.col("q")) - F.col("rating")
-    rows = pairs.join(items, "item_idx").join(users, "user_idx").withColumn("error", error)
-    axes = range(_ALS["rank"])
+    factors, opposite = (users, items) if key == "user_idx" else (items, users)
+    product = vec.dot(F.col("p"), F.col("q"))
+    pull, counted = product - F.col("rating"), F.count("*")
+    if alpha is not None:
+        liked = F.col("rating") > 0
+        confidence = alpha * F.abs("rating")
+        pull = confidence * product - F.when(liked, 1 + confidence).otherwise(0.0)
+        counted = F.count_if(liked)
+    rows = pairs.join(items, "item_idx").join(users, "user_idx").withColumn("pull", pull)
+    axes = range(rank)
     sums = rows.groupBy(key).agg(
         F.count("*").alias("num_ratings"),
-        *[F.sum(F.col("error") * F.col(other)[axis]).alias(f"pull{axis}") for axis in axes],
+        counted.alias("counted"),
+        *[F.sum(F.col("pull") * F.col(other)[axis]).alias(f"pull{axis}") for axis in axes],
     )
+    unseen = [F.lit(0.0)] * rank
+    if alpha is not None:
+        rates = fold_in.gram(opposite.select(F.col(other).alias("features")))
+        unseen = [sum(float(rates[x, y]) * F.col(own)[y] for y in axes) for x in axes]
     # Per rating, so that single-precision factors leave the same trace for all keys.
-    parts = [F.col(f"pull{x}") / F.col("num_ratings") + 0.1 * F.col(own)[x] for x in axes]
-    factors = users if key == "user_idx" else items
+    parts = [(F.col(f"pull{x}") + unseen[x]) / F.col("num_ratings") + 0.1 * F.col("counted") / F.col("num_ratings") * F.col(own)[x] for x in axes]
     return sums.join(factors, key).select(key, "num_ratings", F.greatest(*map(F.abs, parts)).alias("size"))
 
 
+def _sides(pairs: DataFrame, users: DataFrame, items: DataFrame, alpha: float | None = None) -> DataFrame:
+    """Both sides' equations at the user factors of a fit, which it solved last, and at
+    item factors solved once more against them."""
+    rank = len(users.first()["features"])
+    again = materialize(fold_in.fold_in(pairs, users, "item_idx", "user_idx", 0.1, alpha), "solved-items")
+    named = {"p": users.select(F.col("id").alias("user_idx"), F.col("features").alias("p"))}
+    sides = []
+    for side, key, solved_items in (("user", "user_idx", items), ("item", "item_idx", again)):
+        named["q"] = solved_items.select(F.col("id").alias("item_idx"), F.col("features").alias("q"))
+        found = _gradients(pairs, named["p"], named["q"], key, rank, alpha)
+        sides.append(found.select(F.lit(side).alias("side"), F.col(key).alias("idx"), "num_ratings", (F.col("size") < 1e-4).alias("solved")))
+    return sides[0].union(sides[1])
+
+
 @query(
     "als_normal_equations",
     f"""WITH {_PAIRS}
@@ -866,19 +895,60 @@ def _gradients(pairs: DataFrame, users: DataFrame, items: DataFrame, key: str) -
     SELECT 'item', item_idx, count(*), true FROM pairs GROUP BY item_idx""",
 )
 def als_normal_equations(spark, folder):
-    """A saved and reloaded fit: the side solved last (users) zeroes the gradient of
-    its loss, and the items', solved half a round before, is small."""
+    """A saved and reloaded fit: the gradient of its loss vanishes on the side solved last,
+    the users, and on the items once they are folded in against those."""
     pairs = materialize(inputs.rated_pairs(spark, folder), "pairs")
     fitted = factor_models.fit_als(pairs, regParam=0.1, **_ALS)
     model = models.load_model(models.save_model(fitted, scratch_path(spark, "als-model")))
-    users = model.userFactors.select(F.col("id").alias("user_idx"), F.col("features").alias("p"))
-    items = model.itemFactors.select(F.col("id").alias("item_idx"), F.col("features").alias("q"))
-    sides = []
-    for side, key, bound in (("user", "user_idx", 1e-4), ("item", "item_idx", 0.5)):
-        found = _gradients(pairs, users, items, key)
-        solved = (F.col("size") < bound).alias("solved")
-        sides.append(found.select(F.lit(side).alias("side"), F.col(key).alias("idx"), "num_ratings", solved))
-    return sides[0].union(sides[1])
+    return _sides(pairs, model.userFactors, model.itemFactors)
+
+
+# Implicit feedback: quantities less a mean one, so that some are not positive.
+_IMPLICIT = {"rank": 8, "maxIter": 6, "alpha": 2.0}
+
+_QUANTITIES = """
+amounts AS (
+  SELECT CAST(o_custkey AS INTEGER) AS user_idx, CAST(l_partkey AS INTEGER) AS item_idx, sum(l_quantity) - 20 AS rating
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2)"""
+
+
+def _amounts(spark: SparkSession, folder: str) -> DataFrame:
+    lines = inputs.order_lines(spark, folder)
+    pairs = lines.groupBy(F.col("o_custkey").cast("int").alias("user_idx"), F.col("l_partkey").cast("int").alias("item_idx"))
+    return pairs.agg((F.sum("l_quantity") - 20).cast("double").alias("rating"))
+
+
+@query(
+    "als_implicit_normal_equations",
+    f"""WITH {_QUANTITIES}
+    SELECT 'user' AS side, user_idx AS idx, count(*) AS num_ratings, true AS solved FROM amounts GROUP BY user_idx
+    UNION ALL
+    SELECT 'item', item_idx, count(*), true FROM amounts GROUP BY item_idx""",
+)
+def als_implicit_normal_equations(spark, folder):
+    """The weighted equations of implicit feedback, with the Gram term over all factors, on both sides."""
+    pairs = materialize(_amounts(spark, folder), "amounts")
+    model = factor_models.fit_als(pairs, regParam=0.1, implicit=True, **_IMPLICIT)
+    return _sides(pairs, model.userFactors, model.itemFactors, _IMPLICIT["alpha"])
+
+
+@query(
+    "fold_in_users",
+    f"""WITH {_QUANTITIES} SELECT user_idx, count(*) AS num_ratings, true AS explicit_as_fitted, true AS implicit_as_fitted
+    FROM amounts GROUP BY user_idx""",
+)
+def fold_in_users(spark, folder):
+    """Users folded in against a fit's items have the factors that the fit gave them."""
+    pairs = materialize(_amounts(spark, folder), "amounts")
+    found = pairs.groupBy("user_idx").agg(F.count("*").alias("num_ratings"))
+    for name, alpha in (("explicit_as_fitted", None), ("implicit_as_fitted", _IMPLICIT["alpha"])):
+        model = factor_models.fit_als(pairs, regParam=0.1, implicit=alpha is not None, **_IMPLICIT)
+        folded = fold_in.fold_in(pairs, model.itemFactors, "user_idx", "item_idx", 0.1, alpha)
+        both = model.userFactors.join(folded.withColumnRenamed("features", "mine"), "id")
+        apart = F.aggregate(F.zip_with("features", "mine", lambda a, b: F.abs(a - b)), F.lit(0.0).cast("float"), lambda m, x: F.greatest(m, x))
+        size = F.aggregate("features", F.lit(0.0).cast("float"), lambda m, x: F.greatest(m, F.abs(x)))
+        found = found.join(both.select(F.col("id").alias("user_idx"), (apart <= 1e-3 * (1 + size)).alias(name)), "user_idx", "left")
+    return found
 
 
 def _by_mllib(model, users: DataFrame, n: int) -> DataFrame:

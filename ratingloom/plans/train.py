@@ -43,14 +43,18 @@ def train_als(
     k: int = 10,
     train_share: float = 0.8,
     blocks: int = BLOCKS,
+    implicit: bool = False,
 ) -> Training:
-    """Split, search the grid, save the model of highest precision."""
+    """Split, search the grid, save the model of highest precision.
+
+    An ``implicit`` model predicts preferences, so its error in ratings says little.
+    """
     train, validation = (
         part.persist(StorageLevel.MEMORY_AND_DISK)
         for part in hash_split(interactions, train_share, seed)
     )
     try:
-        fit = partial(fit_als, alpha=alpha, maxIter=maxIter, seed=seed, blocks=blocks)
+        fit = partial(fit_als, alpha=alpha, maxIter=maxIter, seed=seed, blocks=blocks, implicit=implicit)
         trials, model = search(train, validation, grid(axes), fit, k, score=predict)
     finally:
         train.unpersist()
@@ -76,6 +80,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--maxiter", type=int, default=10)
     parser.add_argument("--seed", type=int, default=42)
     parser.add_argument("--blocks", type=int, default=BLOCKS, help="part of the model, like the seed")
+    parser.add_argument("--implicit", action="store_true", help="ratings are counts of use; --alpha weighs them")
     parser.add_argument("--train-share", type=float, default=0.8)
     parser.add_argument("--sample-fraction", type=float, default=1.0)
     parser.add_argument("--sample-seed", type=int, default=42)
@@ -95,6 +100,7 @@ def main(argv: list[str] | None = None) -> None:
             args.seed,
             train_share=args.train_share,
             blocks=args.blocks,
+            implicit=args.implicit,
         )
     print(done.model_path, done.params, done.metrics)
 
