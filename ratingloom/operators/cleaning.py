@@ -14,6 +14,9 @@ ALIASES: dict[str, tuple[str, ...]] = {
     "rating": ("rating", "overall", "stars", "score"),
 }
 
+# The time of a rating, for those who ask for it; seconds since 1970, or anything that orders.
+TIME_ALIASES = ("rated_at", "unixReviewTime", "timestamp", "time")
+
 
 def resolve_columns(present: Sequence[str]) -> dict[str, str]:
     """Which present column feeds each field."""
@@ -39,6 +42,16 @@ def clean_ratings(df: DataFrame, columns: Mapping[str, str] | None = None) -> Da
     return _typed(df, columns).dropna()
 
 
+def timed_ratings(df: DataFrame, columns: Mapping[str, str] | None = None) -> DataFrame:
+    """The same rows with ``rated_at`` (bigint, null where there is none or none that can be read) and ``place``."""
+    source = dict(columns or resolve_columns(df.columns))
+    time = source.pop("rated_at", None) or next((name for name in TIME_ALIASES if name in df.columns), None)
+    rated_at = F.lit(None).cast("bigint") if time is None else F.col(f"`{time}`").try_cast("double").cast("bigint")
+    types = {"user_id": "string", "item_id": "string", "rating": "double"}
+    fields = [F.col(f"`{source[field]}`").try_cast(kind).alias(field) for field, kind in types.items()]
+    return df.select(*fields, rated_at.alias("rated_at"), "place").dropna(subset=list(types))
+
+
 def rejected_count(df: DataFrame, columns: Mapping[str, str] | None = None) -> DataFrame:
     """One row with the input size, the kept rows and the rejected rows."""
     typed = _typed(df, columns)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,6 +20,8 @@ from ratingloom.operators import (
     profile,
     ranking_metrics,
     recommending,
+    repeats,
+    sketches,
     splitting,
     thresholds,
 )
@@ -273,6 +276,41 @@ def etl_job(spark, folder):
     )
 
 
+# Several ratings of one pair at one hour occur, so the order of lines decides.
+_TIMED = """
+timed AS (
+  SELECT CAST(user_id AS VARCHAR) AS user_id, json_extract_string(props, '$.k') AS item_id, event_id,
+         CAST(CASE event_type WHEN 'purchase' THEN 5 WHEN 'signup' THEN 4
+                              WHEN 'click' THEN 3 WHEN 'view' THEN 2 END AS DOUBLE) AS rating,
+         CASE WHEN event_id % 9 > 0 THEN CAST(floor(epoch(ts) / 3600) AS BIGINT) * 3600 END AS rated_at
+  FROM events)"""
+
+
+def _timed_reviews(spark: SparkSession, folder: str) -> str:
+    """Events as JSON reviews in the order of their numbers, by the hour, some without a time."""
+    hour = F.floor(F.unix_timestamp("unixReviewTime") / 3600) * 3600
+    path = scratch_path(spark, "reviews") + ".json"
+    raw = inputs.event_reviews(spark, folder).withColumn("unixReviewTime", F.when(F.col("event_id") % 9 > 0, hour))
+    raw.repartitionByRange(4, "event_id").sortWithinPartitions("event_id").drop("event_id").write.json(path)
+    return path
+
+
+def _dedupe_query(how: str, chosen: str) -> None:
+    @query(
+        f"dedupe_{how}",
+        f"WITH {_TIMED} SELECT user_id, item_id, {chosen} AS rating FROM timed WHERE rating IS NOT NULL GROUP BY user_id, item_id",
+    )
+    def run(spark, folder):
+        rows = reviews.read_reviews(spark, _timed_reviews(spark, folder), timed=True)
+        kept = repeats.one_per_pair(rows, how)
+        return kept.select("user_id", "item_id", *_six("rating"))
+
+
+_dedupe_query("last", "arg_max(rating, (coalesce(rated_at, -1), event_id))")
+_dedupe_query("max", "max(rating)")
+_dedupe_query("avg", "round(avg(rating), 6)")
+
+
 @query(
     "encode_known_ids",
     f"""WITH {_MAPS}
@@ -349,6 +387,45 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_SLICES = """
+slices AS (
+  SELECT CAST(o_custkey AS VARCHAR) AS user_id, CAST(l_partkey AS VARCHAR) AS item_id,
+         year(o_orderdate) AS year, CAST(ceil(l_quantity / 10) AS INTEGER) AS stars
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
+
+@query(
+    "distinct_sketches",
+    f"""WITH {_SLICES}
+    SELECT year, stars, count(*) AS num_rows, count(DISTINCT user_id) AS num_users, count(DISTINCT item_id) AS num_items,
+           true AS users_within, true AS items_within
+    FROM slices GROUP BY GROUPING SETS ((year, stars), (year), (stars), ())""",
+)
+def distinct_sketches(spark, folder):
+    """Stored sketches by year and stars, and their unions, against exact counts: all within three standard errors."""
+    lines = inputs.table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    orders = inputs.table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    rows = lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
+        F.col("o_custkey").cast("string").alias("user_id"),
+        F.col("l_partkey").cast("string").alias("item_id"),
+        F.year("o_orderdate").cast("long").alias("year"),
+        F.ceil(F.col("l_quantity") / 10).cast("int").alias("stars"),
+    )
+    stored = materialize(sketches.sketch_slices(rows, ["year", "stars"]), "sketches")
+    found = None
+    for by in (["year", "stars"], ["year"], ["stars"], []):
+        exact = rows.groupBy(*by).agg(F.count_distinct("user_id").alias("num_users"), F.count_distinct("item_id").alias("num_items"))
+        guess = sketches.estimates(sketches.merge_slices(stored, by)).withColumnsRenamed({"num_user_id": "users", "num_item_id": "items"})
+        same = [guess[name].eqNullSafe(exact[name]) for name in by] or [F.lit(True)]
+        both = guess.join(exact, reduce(lambda a, b: a & b, same))
+        names = [guess[name] if name in by else F.lit(None).cast(kind).alias(name) for name, kind in (("year", "long"), ("stars", "int"))]
+        bound = 3 * sketches.relative_error()
+        within = [(F.abs(F.col(k) - F.col(f"num_{k}")) <= bound * F.col(f"num_{k}")).alias(f"{k}_within") for k in ("users", "items")]
+        part = both.select(*names, "num_rows", "num_users", "num_items", *within)
+        found = part if found is None else found.union(part)
+    return found
+
+
 @query(
     "basic_stats",
     f"""WITH {_LINES}, sizes AS (

@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 
 from ratingloom.operators.indexing import index_ids
 from ratingloom.operators.popularity import compute_popularity
+from ratingloom.operators.repeats import HOW, one_per_pair
 from ratingloom.operators.thresholds import min_interactions
 from ratingloom.scratch import materialize, scratch_tables
 from ratingloom.session import open_session
@@ -27,19 +28,24 @@ def preprocess_reviews(
     fmt: str | None = None,
     columns: Mapping[str, str] | None = None,
     iterations: int | None = 1,
+    dedupe: str | None = None,
 ) -> dict[str, str]:
     """Clean, threshold, index and write; returns the written paths.
 
+    ``dedupe`` keeps one rating of each user and item: "max", "last" or "avg".
+
     Several aggregates and joins read the clean rows and the rows that pass the
     thresholds, so the rows are stored as columns once before each; text is
     parsed once.
     """
     fmt = fmt or detect_format(input_path)
     with scratch_tables(spark):
-        clean = read_reviews(spark, input_path, fmt, columns)
+        clean = read_reviews(spark, input_path, fmt, columns, timed=dedupe == "last")
         # JSON whose columns had to be found is in a scratch table already.
         if fmt in ("csv", "tsv") or (fmt == "json" and columns is not None):
             clean = materialize(clean, "clean")
+        if dedupe is not None:
+            clean = materialize(one_per_pair(clean, dedupe), "one-per-pair")
         kept = materialize(min_interactions(clean, minimum, iterations=iterations), "kept")
         indexed = index_ids(kept)
         written = {
@@ -66,11 +72,12 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--output", required=True)
     parser.add_argument("--min-interactions", type=int, default=5)
     parser.add_argument("--iterations", type=int, default=1, help="threshold passes; 0 repeats them until nothing falls")
+    parser.add_argument("--dedupe", choices=HOW, help="one rating of each user and item; all are kept without it")
     parser.add_argument("--format", choices=["csv", "tsv", "json", "parquet"])
     args = parser.parse_args(argv)
     spark = open_session("ratingloom-etl")
     paths = preprocess_reviews(
-        spark, args.input, args.output, args.min_interactions, args.format, iterations=args.iterations or None
+        spark, args.input, args.output, args.min_interactions, args.format, iterations=args.iterations or None, dedupe=args.dedupe
     )
     for name, path in paths.items():
         print(f"{name}\t{spark.read.parquet(path).count()} rows\t{path}")

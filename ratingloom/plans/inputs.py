@@ -50,6 +50,7 @@ def event_reviews(spark: SparkSession, folder: str) -> DataFrame:
         F.get_json_object("props", "$.k").alias("asin"),
         F.coalesce(F.try_element_at(stars, F.col("event_type")), F.lit("n/a")).alias("overall"),
         F.col("ts").alias("unixReviewTime"),
+        "event_id",
     )
 
 
