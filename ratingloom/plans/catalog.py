@@ -26,7 +26,7 @@ from ratingloom.operators import (
     thresholds,
 )
 from ratingloom.operators.nearest import top_n
-from ratingloom.plans import inputs
+from ratingloom.plans import inputs, lookup_items, serve_tables
 from ratingloom.plans.bias_model import RatingSums
 from ratingloom.plans.etl import preprocess_reviews
 from ratingloom.scratch import materialize, scratch_path
@@ -812,6 +812,20 @@ def _parts_and_events(spark: SparkSession, folder: str) -> tuple[DataFrame, Data
     return subjects, users.distinct(), items
 
 
+@query("served_recommendations", ORACLES["recommend_with_fallback"])
+def served_recommendations(spark, folder):
+    """Every customer's answer from a published table of the users that the model knows."""
+    users, items = _factors(spark, folder)
+    subjects, user_map, item_map = _parts_and_events(spark, folder)
+    popular = materialize(_event_popularity(spark, folder), "popular")
+    known = user_map.join(users, F.col("user_idx") == F.col("id"), "left_semi").select("user_id")
+    recs = recommending.recommend(known, users, items, user_map, item_map, popular, 10)
+    path = scratch_path(spark, "answers")
+    serve_tables.publish_answers(spark, path, "user_id", recs, popular, item_map, 10)
+    found = serve_tables.answers(spark, path, "user_id", subjects)
+    return found.select("user_id", "rank", "item_id", *_six("score"), "source")
+
+
 @query(
     "recommend_unseen",
     f"""WITH {_FACTORS}, {_EVENT_POPULAR},
@@ -1170,21 +1184,19 @@ def als_grid(spark, folder):
 # -- item details and feedback -------------------------------------------------
 
 
-@query(
-    "item_lookup",
-    """WITH wanted AS (
+_LOOKED_UP = """WITH wanted AS (
       SELECT CAST(l_partkey AS VARCHAR) AS key, min(l_orderkey * 10 + l_linenumber) AS place
       FROM lineitem GROUP BY 1
       UNION ALL SELECT 'absent', -1)
-    SELECT CAST(row_number() OVER (ORDER BY place, key) AS INTEGER) AS position, key AS asin, p_name AS title,
+    SELECT place AS ordinal, key AS asin, p_name AS title,
            p_type || ' > ' || p_brand AS category, p_brand AS brand,
            CASE WHEN p_partkey % 3 = 0 THEN '$' || CAST(p_partkey AS VARCHAR) ELSE CAST(p_partkey AS VARCHAR) || '.5' END AS price,
            CASE WHEN p_partkey % 3 <> 0 THEN p_partkey + 0.5::DOUBLE END AS price_value
-    FROM wanted JOIN part ON CAST(p_partkey AS VARCHAR) = key""",
-)
-def item_lookup(spark, folder):
-    """Parts stored as ragged JSON lines, each twice and between blank and broken
-    lines, looked up for the parts in the order in which they were first bought."""
+    FROM wanted JOIN part ON CAST(p_partkey AS VARCHAR) = key"""
+
+
+def _part_documents(spark: SparkSession, folder: str) -> str:
+    """Parts as ragged JSON lines, each twice and between blank and broken lines."""
     part = inputs.table(spark, folder, "part")
     nested = F.when(F.col("p_partkey") % 2 == 0, F.array(F.array("p_type", "p_brand")))
     flat = F.when(F.col("p_partkey") % 2 == 1, F.array("p_type", "p_brand"))
@@ -1197,15 +1209,31 @@ def item_lookup(spark, folder):
     lines = F.array(first, F.lit(""), F.lit("  "), F.concat(F.lit('{"asin": "'), key), later)
     path = scratch_path(spark, "metadata")
     part.select(F.explode(lines)).write.text(path)
+    return path
+
+
+def _wanted_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """The parts in the order in which they were first bought, and one that there is not."""
     bought = inputs.table(spark, folder, "lineitem").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ordinal"), F.col("l_partkey").cast("string").alias("key")
     )
     absent = spark.range(1).select(F.lit(-1).cast("long").alias("ordinal"), F.lit("absent").alias("key"))
-    keys = item_details.first_places(bought.union(absent))
-    found = item_details.lookup(item_details.describe(read_metadata(spark, path)), keys)
-    # The result has one row per part; its positions are what the query shows.
-    place = F.row_number().over(Window.orderBy("ordinal", "asin"))
-    return found.select(place.cast("int").alias("position"), "asin", "title", "category", "brand", "price", "price_value")
+    return item_details.first_places(bought.union(absent))
+
+
+@query("item_lookup", _LOOKED_UP)
+def item_lookup(spark, folder):
+    """Looked up in the parsed lines."""
+    documents = item_details.describe(read_metadata(spark, _part_documents(spark, folder)))
+    return item_details.lookup(documents, _wanted_parts(spark, folder))
+
+
+@query("item_lookup_stored", _LOOKED_UP)
+def item_lookup_stored(spark, folder):
+    """Parsed once into the store by key, then looked up there."""
+    store = scratch_path(spark, "details-store")
+    lookup_items.store_details(spark, _part_documents(spark, folder), store)
+    return lookup_items.stored_details(spark, store, _wanted_parts(spark, folder))
 
 
 def _ingested(spark: SparkSession, folder: str) -> str:

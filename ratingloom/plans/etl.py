@@ -6,9 +6,9 @@
 from __future__ import annotations
 
 import argparse
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from ratingloom.operators.indexing import index_ids
 from ratingloom.operators.popularity import compute_popularity
@@ -16,7 +16,7 @@ from ratingloom.operators.repeats import HOW, one_per_pair
 from ratingloom.operators.thresholds import min_interactions
 from ratingloom.scratch import materialize, scratch_tables
 from ratingloom.session import open_session
-from ratingloom.sources import tables
+from ratingloom.sources import snapshots, tables
 from ratingloom.sources.reviews import detect_format, read_reviews
 
 
@@ -48,22 +48,27 @@ def preprocess_reviews(
             clean = materialize(one_per_pair(clean, dedupe), "one-per-pair")
         kept = materialize(min_interactions(clean, minimum, iterations=iterations), "kept")
         indexed = index_ids(kept)
-        written = {
-            "interactions": tables.write_table(
-                indexed.interactions, output_dir, tables.INTERACTIONS
-            ),
-            "user_map": tables.write_table(
-                indexed.user_map.orderBy("user_idx"), output_dir, tables.USER_MAP
-            ),
-            "item_map": tables.write_table(
-                indexed.item_map.orderBy("item_idx"), output_dir, tables.ITEM_MAP
-            ),
+        paths: dict[str, str] = {}
+
+        def table(rows: Callable[[], DataFrame], name: str) -> Callable[[str], None]:
+            def write(path: str) -> None:
+                rows().write.parquet(path)
+                paths[name] = path
+
+            return write
+
+        def popular() -> DataFrame:
+            return compute_popularity(spark.read.parquet(paths[tables.INTERACTIONS]))
+
+        # All four tables or none: readers never see those of two runs.
+        sources = {
+            tables.INTERACTIONS: lambda: indexed.interactions,
+            tables.USER_MAP: lambda: indexed.user_map.orderBy("user_idx"),
+            tables.ITEM_MAP: lambda: indexed.item_map.orderBy("item_idx"),
+            tables.POPULAR_ITEMS: popular,
         }
-    interactions = tables.read_table(spark, output_dir, tables.INTERACTIONS)
-    written["popular_items"] = tables.write_table(
-        compute_popularity(interactions), output_dir, tables.POPULAR_ITEMS
-    )
-    return written
+        written = snapshots.publish(spark, output_dir, {name: table(rows, name) for name, rows in sources.items()})
+    return {name.removesuffix(".parquet"): path for name, path in written.items()}
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -21,7 +21,7 @@ from ratingloom.scratch import scratch_tables
 from ratingloom.session import open_session
 from ratingloom.sources import tables
 from ratingloom.sources.experiments import DOCUMENT_METRICS, write_results
-from ratingloom.sources.models import save_metadata, save_model
+from ratingloom.sources.models import save_model
 
 
 @dataclass(frozen=True)
@@ -64,8 +64,7 @@ def train_als(
     params = {name: best[name] for name in axes}
     metrics = {theirs: best[ours] for ours, theirs in DOCUMENT_METRICS.items()}
     root = artifacts_dir.rstrip("/")
-    path = save_model(model, f"{root}/als_model")
-    save_metadata(spark, path, params, metrics)
+    path = save_model(model, f"{root}/als_model", params, metrics)
     results = write_results(frame, f"{root}/metrics", tuple(axes), k)
     return Training(path, params, metrics, results)
 

@@ -1,9 +1,14 @@
-"""Stored tables of the pipeline: one Parquet folder each under one root."""
+"""Stored tables of the pipeline, published under one root as sets.
+
+A root without a manifest holds one Parquet folder per table.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ratingloom.sources import snapshots
+
 # The tables' folder names.
 INTERACTIONS = "interactions.parquet"
 USER_MAP = "user_map.parquet"
@@ -11,12 +16,17 @@ ITEM_MAP = "item_map.parquet"
 POPULAR_ITEMS = "popular_items.parquet"
 
 
+def table_path(spark: SparkSession, root: str, name: str) -> str:
+    return snapshots.current(spark, root).get(name, f"{root.rstrip('/')}/{name}")
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}")
+    return spark.read.parquet(table_path(spark, root, name))
 
 
 # Columns of the tables that serving may find absent.
 _SCHEMAS = {
+    INTERACTIONS: "user_idx int, item_idx int, rating double",
     USER_MAP: "user_idx int, user_id string",
     ITEM_MAP: "item_idx int, item_id string",
     POPULAR_ITEMS: "item_idx int, count_ratings bigint, avg_rating double",
@@ -30,13 +40,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def read_or_empty(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The table, or one without rows where it was not written."""
-    if path_exists(spark, f"{root.rstrip('/')}/{name}"):
-        return read_table(spark, root, name)
-    return spark.createDataFrame([], _SCHEMAS[name])
+    return read_set(spark, root, name)[0]
+
+
+def read_set(spark: SparkSession, root: str, *names: str) -> list[DataFrame]:
+    """Tables of one published set, empty where one was not written."""
+    published = snapshots.current(spark, root)
+    found = []
+    for name in names:
+        path = published.get(name, f"{root.rstrip('/')}/{name}")
+        there = name in published or path_exists(spark, path)
+        found.append(spark.read.parquet(path) if there else spark.createDataFrame([], _SCHEMAS[name]))
+    return found
 
 
 def write_table(df: DataFrame, root: str, name: str) -> str:
-    """Replace a table; returns its path."""
-    path = f"{root.rstrip('/')}/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return path
+    """Publish a new version of one table; returns its path."""
+    return snapshots.publish(df.sparkSession, root, {name: df.write.parquet})[name]
