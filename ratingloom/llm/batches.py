@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,21 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_CH
             begin = end
 
 
+def released(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``work``, giving its memory back when a task ends: its process may serve other stages for long."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Every index of the given ranges, one range after the other."""
     total = int(lengths.sum())

@@ -6,42 +6,43 @@ the forward algorithm computes in one pass; a text's is the product over its
 words.  The piece probabilities are learned by expectation maximisation: the
 forward and backward sums give each piece's expected count.
 
-Nulls and odd input: a text that is null or holds no letter is ``und`` with
-score 0.  With no labelled row at all every text is ``und``.  Rows are never
+All pieces of the vocabulary and all lengths of words count: sums are rescaled
+every few characters, so that runs of any number of letters stay within a double.
+
+Nulls and odd input: a text that is null or holds no letter (Unicode category L;
+other numbers and lone marks are none) is ``und`` with score 0.  With no labelled row at all every text is ``und``.  Rows are never
 dropped or joined, so repeated rows each get their own, equal answer.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratingloom.llm.batches import pieces
+from ratingloom.llm.batches import pieces, released
 from ratingloom.scratch import materialize
 
 #: Labelled documents per language that the fit looks at (about; chosen by a hash of the id).
 FIT_DOCUMENTS = 4_000
 #: Rounds of expectation maximisation.
 ROUNDS = 3
-#: Longest piece used, in characters, its word mark included.
-LONGEST_PIECE = 7
 #: Expected count given to every piece beforehand, and the probability of a character no piece covers.
 PRIOR_COUNT, UNKNOWN = 0.05, 1e-7
-#: Runs of letters beyond this are cut, so that probabilities stay within a double.
-LONGEST_WORD = 32
 UNDETERMINED = "und"
 
-#: Characters scored together: more text repeats more of its words.
-SCORED_CHARS = 4_000_000
+#: Characters of text, and of distinct words, that are scored together; words whose scores a task remembers.
+SCORED_CHARS, WORD_CHARS, REMEMBERED = 1_000_000, 400_000, 100_000
+#: Boundaries after which sums are taken relative to the last one; no piece may be longer.
+EPOCH = 32
 
 _MARK = "▁"
-_LETTERS = re.compile(rf"[^\W\d_]{{1,{LONGEST_WORD}}}")
+_LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -55,18 +56,46 @@ def public_pieces(path: str) -> list[str]:
         if model.is_control(i) or model.is_unknown(i) or model.is_byte(i):
             continue
         piece = model.id_to_piece(i).lower()
-        if len(piece) <= LONGEST_PIECE and piece.removeprefix(_MARK).isalpha():
+        if piece.removeprefix(_MARK).isalpha():
             found.add(piece)
     return sorted(found)
 
 
+class Found:
+    """Where pieces lie in a list of words, each with its mark before it.
+
+    ``starts`` and ``lengths`` place the words in the joined characters.  ``ends[m]``
+    has the pieces of m characters by the boundary t at which they end: for t from 1
+    on, slices of the words' places in ``longest_first`` and of the pieces.
+    """
+
+    def __init__(self, starts: np.ndarray, lengths: np.ndarray) -> None:
+        self.starts, self.lengths = starts, lengths
+        self.longest_first = np.argsort(-lengths, kind="stable")
+        self.boundary = (starts + np.arange(len(lengths)))[self.longest_first]
+        self.last = int(lengths.max())
+        self.ends: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+
+    def at(self, m: int, t: int) -> tuple[np.ndarray, np.ndarray]:
+        words, rows, marks = self.ends[m]
+        there = slice(marks[t], marks[t + 1])
+        return words[there], rows[there]
+
+
 class PieceTable:
     """Finds pieces in many words at once, by rolling hash and binary search."""
 
     def __init__(self, vocabulary: list[str]):
         hashes = np.array([self._hash(piece) for piece in vocabulary], np.uint64)
-        self._order = np.argsort(hashes)
-        self._hashes = hashes[self._order]
+        sizes = np.array([len(piece) for piece in vocabulary], np.int64)
+        self.longest = max(int(sizes.max(initial=1)), 1)
+        if self.longest > EPOCH:
+            raise ValueError(f"a piece of {self.longest} characters is too long; at most {EPOCH} are possible")
+        self._by_size = {}
+        for m in range(1, self.longest + 1):
+            rows = np.flatnonzero(sizes == m)
+            rows = rows[np.argsort(hashes[rows])]
+            self._by_size[m] = hashes[rows], rows.astype(np.int32)
         self.size = len(vocabulary)
 
     @staticmethod
@@ -76,101 +105,149 @@ class PieceTable:
             value = (value * int(_BASE) + ord(character) + 1) & 0xFFFFFFFFFFFFFFFF
         return value
 
-    def find(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-        """Start and length of each marked word in the joined characters, and per
-        piece length the piece that starts at each character: its row in a table
-        of probabilities with two rows more, ``size`` for none and ``size + 1``
-        for an uncovered character."""
+    def find(self, words: list[str]) -> Found:
+        """The pieces of every word, as rows of a table of probabilities with one
+        row more, ``size``, for a character that is no piece itself."""
         lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
         starts = np.cumsum(lengths) - lengths
+        found = Found(starts, lengths)
         joined = np.frombuffer((_MARK + _MARK.join(words)).encode("utf-32-le", "surrogatepass"), np.uint32)
         codes = joined.astype(np.uint64) + np.uint64(1)
-        left = np.repeat(starts + lengths, lengths) - np.arange(len(codes))
+        place = np.empty(len(words), np.int64)
+        place[found.longest_first] = np.arange(len(words))
+        word = np.repeat(np.arange(len(words)), lengths)
+        before = np.arange(len(codes)) - starts[word]
         hashes = np.zeros(len(codes), np.uint64)
-        rows = []
-        for m in range(1, LONGEST_PIECE + 1):
-            whole = max(0, len(codes) - m + 1)
+        for m in range(1, min(self.longest, found.last) + 1):
+            whole = len(codes) - m + 1
             hashes[:whole] = hashes[:whole] * _BASE + codes[m - 1 :]
-            inside = np.flatnonzero(left >= m)
-            at = np.full(len(codes), self.size, np.int32)
-            if self.size:
+            known, rows = self._by_size[m]
+            inside = np.flatnonzero(before + m <= lengths[word]) if m > 1 else np.arange(len(codes))
+            at = np.full(len(inside), self.size, np.int32)
+            if len(known):
                 asked = hashes[inside]
-                near = np.minimum(np.searchsorted(self._hashes, asked), self.size - 1)
-                hit = self._hashes[near] == asked
-                at[inside[hit]] = self._order[near[hit]]
-            if m == 1:
-                at[at == self.size] = self.size + 1
-            rows.append(at)
-        return starts, lengths, rows
-
-
-def _forward(found, table: np.ndarray) -> np.ndarray:
-    """Sum of all segmentations of each prefix: one row per word and boundary."""
-    starts, lengths, rows = found
-    longest_first = np.argsort(-lengths, kind="stable")
-    begin, size = starts[longest_first], lengths[longest_first]
-    boundary = begin + longest_first
-    alpha = np.zeros((int(lengths.sum()) + len(lengths), table.shape[1]))
+                near = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+                hit = known[near] == asked
+                at[hit] = rows[near[hit]]
+            if m > 1:
+                inside, at = inside[at != self.size], at[at != self.size]
+            end = before[inside] + m
+            order = np.argsort(end, kind="stable")
+            marks = np.searchsorted(end[order], np.arange(found.last + 2))
+            found.ends[m] = place[word[inside[order]]], at[order], marks
+        return found
+
+
+def _forward(found: Found, table: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+    """Sum of all segmentations of each prefix: one row per word and boundary.
+
+    Sums are relative to the exponential of the second array, if there is one: from
+    every ``EPOCH``-th boundary of a word on, to the sum at the boundary before it.
+    """
+    boundary, size = found.boundary, found.lengths[found.longest_first]
+    alpha = np.zeros((int(size.sum()) + len(size), table.shape[1]))
+    shift = np.zeros_like(alpha) if found.last >= EPOCH else None
     alpha[boundary] = 1.0
-    for t in range(1, int(size[0]) + 1):
+    begun, base, factor = 0, np.zeros((len(size), table.shape[1])), None
+    for t in range(1, found.last + 1):
         active = int(np.searchsorted(-size, -t, side="right"))
         into = boundary[:active] + t
+        if t % EPOCH == 0:
+            reference = alpha[into - 1]
+            begun, base, factor = t, base[:active] + np.log(reference), 1.0 / reference
         total = np.zeros((active, table.shape[1]))
-        for m in range(1, min(t, LONGEST_PIECE) + 1):
-            total += alpha[into - m] * table[rows[m - 1][begin[:active] + (t - m)]]
+        for m in range(1, min(t, len(found.ends)) + 1):
+            words, rows = found.at(m, t)
+            if len(words):
+                part = alpha[into[words] - m] * table[rows]
+                if t - m < begun:
+                    part *= factor[words]
+                total[words] += part
         alpha[into] = total
-    return alpha
-
-
-def _backward(found, table: np.ndarray) -> np.ndarray:
-    starts, lengths, rows = found
-    longest_first = np.argsort(-lengths, kind="stable")
-    begin, size = starts[longest_first], lengths[longest_first]
-    boundary = begin + longest_first
-    beta = np.zeros((int(lengths.sum()) + len(lengths), table.shape[1]))
-    beta[boundary + size] = 1.0
-    for back in range(1, int(size[0]) + 1):  # characters from the word's end
+        if shift is not None:
+            shift[into] = base[:active]
+    return alpha, shift
+
+
+def _backward(found: Found, table: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+    """The same of each suffix, epochs being counted from the words' ends."""
+    boundary, size = found.boundary, found.lengths[found.longest_first]
+    beta = np.zeros((int(size.sum()) + len(size), table.shape[1]))
+    shift = np.zeros_like(beta) if found.last >= EPOCH else None
+    end = boundary + size
+    beta[end] = 1.0
+    # Pieces by the number of characters from their first to the word's end.
+    starts = {}
+    for m, (words, rows, marks) in found.ends.items():
+        back = size[words] - np.repeat(np.arange(len(marks) - 1), np.diff(marks)) + m
+        order = np.argsort(back, kind="stable")
+        starts[m] = words[order], rows[order], np.searchsorted(back[order], np.arange(found.last + 2))
+    begun, base, factor = 0, np.zeros((len(size), table.shape[1])), None
+    for back in range(1, found.last + 1):
         active = int(np.searchsorted(-size, -back, side="right"))
-        at = size[:active] - back
+        into = end[:active] - back
+        if back % EPOCH == 0:
+            reference = beta[into + 1]
+            begun, base, factor = back, base[:active] + np.log(reference), 1.0 / reference
         total = np.zeros((active, table.shape[1]))
-        for m in range(1, min(back, LONGEST_PIECE) + 1):
-            total += beta[boundary[:active] + at + m] * table[rows[m - 1][begin[:active] + at]]
-        beta[boundary[:active] + at] = total
-    return beta
+        for m in range(1, min(back, len(starts)) + 1):
+            words, rows, marks = starts[m]
+            there = slice(marks[back], marks[back + 1])
+            if marks[back] < marks[back + 1]:
+                part = beta[into[words[there]] + m] * table[rows[there]]
+                if back - m < begun:
+                    part *= factor[words[there]]
+                total[words[there]] += part
+        beta[into] = total
+        if shift is not None:
+            shift[into] = base[:active]
+    return beta, shift
 
 
 def _padded(probabilities: np.ndarray) -> np.ndarray:
-    """Piece probabilities with the rows for no piece and an uncovered character."""
-    k = probabilities.shape[1]
-    return np.vstack([probabilities, np.zeros((1, k)), np.full((1, k), UNKNOWN)])
+    """Piece probabilities with the row for an uncovered character."""
+    return np.vstack([probabilities, np.full((1, probabilities.shape[1]), UNKNOWN)])
+
+
+def _chunks(words: list[str]) -> Iterator[slice]:
+    """Slices of words with about ``WORD_CHARS`` characters, or one longer word."""
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    begin = 0
+    while begin < len(words):
+        end = int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + WORD_CHARS, side="right"))
+        yield slice(begin, max(end, begin + 1))
+        begin = max(end, begin + 1)
 
 
 def word_scores(table: PieceTable, probabilities: np.ndarray, words: list[str]) -> np.ndarray:
     """Log probability of each word (rows) in each language (columns)."""
-    if not words:
-        return np.zeros((0, probabilities.shape[1]))
-    found = table.find(words)
-    alpha = _forward(found, _padded(probabilities))
-    starts, lengths, _ = found
-    return np.log(alpha[starts + np.arange(len(words)) + lengths])
+    scores = np.zeros((len(words), probabilities.shape[1]))
+    padded = _padded(probabilities)
+    for part in _chunks(words):
+        found = table.find(words[part])
+        alpha, shift = _forward(found, padded)
+        end = found.starts + np.arange(len(found.starts)) + found.lengths
+        scores[part] = np.log(alpha[end]) + (0.0 if shift is None else shift[end])
+    return scores
 
 
 def expected_counts(table: PieceTable, probabilities: np.ndarray, words: list[str], counts: np.ndarray) -> np.ndarray:
     """Expected uses of each piece in one language's words."""
-    uses = np.zeros(table.size + 2)
-    if not words:
-        return uses[: table.size]
+    uses = np.zeros(table.size + 1)
     padded = _padded(probabilities)
-    found = table.find(words)
-    starts, lengths, rows = found
-    alpha, beta = _forward(found, padded)[:, 0], _backward(found, padded)[:, 0]
-    word = np.repeat(np.arange(len(words)), lengths)
-    boundary = np.arange(len(word)) + word
-    weight = (counts / alpha[starts + np.arange(len(words)) + lengths])[word]
-    for m, at in enumerate(rows, 1):
-        there = np.flatnonzero(at != table.size)
-        share = alpha[boundary[there]] * padded[at[there], 0] * beta[boundary[there] + m] * weight[there]
-        uses += np.bincount(at[there], share, table.size + 2)
+    for part in _chunks(words):
+        found = table.find(words[part])
+        # Sums and shares as logarithms, since those of long words leave the range of a double.
+        (alpha, up), (beta, down) = _forward(found, padded), _backward(found, padded)
+        prefix = np.log(alpha[:, 0]) + (0.0 if up is None else up[:, 0])
+        suffix = np.log(beta[:, 0]) + (0.0 if down is None else down[:, 0])
+        whole = prefix[found.boundary + found.lengths[found.longest_first]]
+        times = counts[part][found.longest_first]
+        chances = np.log(padded[:, 0])
+        for m, (at, rows, marks) in found.ends.items():
+            end = found.boundary[at] + np.repeat(np.arange(len(marks) - 1), np.diff(marks))
+            share = np.exp(prefix[end - m] + chances[rows] + suffix[end] - whole[at]) * times[at]
+            uses += np.bincount(rows, share, table.size + 1)
     return uses[: table.size]
 
 
@@ -188,20 +265,31 @@ class LanguageModel:
         self.vocabulary, self.languages = vocabulary, languages
         self.priors, self.probabilities = priors, probabilities
         self._table: PieceTable | None = None
+        self._known: dict[str, int] = {}
+        self._scores = np.zeros((0, len(languages)))
+
+    def _rows(self, words: list[str]) -> np.ndarray:
+        """Where each word's scores are in ``_scores``; only words not met before are scored."""
+        new = list(dict.fromkeys(word for word in words if word not in self._known))
+        if len(self._known) + len(new) > REMEMBERED:
+            new, self._known, self._scores = list(dict.fromkeys(words)), {}, self._scores[:0]
+        if new:
+            if self._table is None:
+                self._table = PieceTable(self.vocabulary)
+            self._known |= {word: at for at, word in enumerate(new, len(self._known))}
+            self._scores = np.concatenate([self._scores, word_scores(self._table, self.probabilities, new)])
+        return np.fromiter((self._known[word] for word in words), np.int64, len(words))
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        if self._table is None:
-            self._table = PieceTable(self.vocabulary)
+        labels, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
         found = [words_of(text) for text in texts]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
-        labels, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
         written = np.flatnonzero(sizes)
         if not len(written) or not self.languages:
             return labels, scores
-        codes, distinct = pd.factorize(np.array([w for words in found for w in words], dtype=object))
-        of_word = word_scores(self._table, self.probabilities, list(distinct))
+        rows = self._rows([word for words in found for word in words])
         starts = (np.cumsum(sizes) - sizes)[written]
-        total = np.add.reduceat(of_word[codes], starts, axis=0) + self.priors
+        total = np.add.reduceat(self._scores[rows], starts, axis=0) + self.priors
         best = total.argmax(axis=1)
         posterior = 1.0 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
         scores[written] = posterior
@@ -209,6 +297,10 @@ class LanguageModel:
             labels[row] = self.languages[language]
         return labels, scores
 
+    def forget(self) -> None:
+        """Drop the remembered words; a worker that is used again starts small."""
+        self._known, self._scores = {}, self._scores[:0].copy()
+
 
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id's text modulo ``folds``; a null id counts as empty text."""
@@ -281,6 +373,7 @@ def identify(docs: DataFrame, model: LanguageModel, label: str = "lang_pred", sc
         for batch in pieces(batches, "text", SCORED_CHARS):
             labels, scores = carrier.value.predict(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(labels, pa.string()), pa.array(scores)], names)
+        carrier.value.forget()
 
     schema = kept.limit(0).withColumns({label: F.lit("").cast("string"), score: F.lit(0.0)}).schema
-    return kept.mapInArrow(predict, schema)
+    return kept.mapInArrow(released(predict), schema)
