@@ -71,6 +71,12 @@ def side_by_side(spark: SparkSession, *steps: Callable[[], _Result]) -> list[_Re
         return [job.result() for job in jobs]
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that nothing reads any more."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 @contextmanager
 def scratch_tables(spark: SparkSession) -> Iterator[None]:
     """Drop the scratch tables written inside the block when it ends.
@@ -83,8 +89,5 @@ def scratch_tables(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _owned.reset(token)
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
         for name in owned:
-            path = jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(conf).delete(path, True)
+            discard(spark, name)
