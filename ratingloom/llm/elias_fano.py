@@ -71,14 +71,16 @@ class EliasFano(NamedTuple):
         value[over] |= self.low[word[over] + 1] << (np.uint64(64) - shift[over])
         return value & np.uint64((1 << self.width) - 1)
 
-    def _select_zero(self, k: np.ndarray) -> np.ndarray:
-        """Position of zero number k (from 0)."""
-        block = np.searchsorted(self.zeros, k, side="right") - 1
-        rest = (k - self.zeros[block]).astype(np.int16)
+    def _select(self, k: np.ndarray, ones: bool) -> np.ndarray:
+        """Position of zero, or one, number k (from 0) of the unary part."""
+        before = np.arange(len(self.zeros)) * 512 - self.zeros if ones else self.zeros
+        block = np.searchsorted(before, k, side="right") - 1
+        rest = (k - before[block]).astype(np.int16)
         at = block * 64
         step = 32
         # Halve the block's 64 bytes, then look into one byte.
-        prefix = np.cumsum(8 - _BYTE_ONES[self.high].reshape(-1, 64).astype(np.int16), axis=1, dtype=np.int16).ravel()
+        per_byte = _BYTE_ONES[self.high].reshape(-1, 64).astype(np.int16)
+        prefix = np.cumsum(per_byte if ones else 8 - per_byte, axis=1, dtype=np.int16).ravel()
         begin = at.copy()
         while step:
             skip = prefix[at + step - 1] <= rest
@@ -89,18 +91,23 @@ class EliasFano(NamedTuple):
         found = np.zeros(len(k), np.int64)
         seen = np.zeros(len(k), np.int16)
         for bit in range(8):
-            zero = (byte >> bit) & 1 == 0
-            found[zero & (seen == rest)] = bit
-            seen += zero
+            wanted = (byte >> bit) & 1 == (1 if ones else 0)
+            found[wanted & (seen == rest)] = bit
+            seen += wanted
         return at * 8 + found
 
-    def find(self, values: np.ndarray) -> np.ndarray:
-        """Index of each value (first, if repeated) in the sequence, or -1."""
+    def find(self, values: np.ndarray, first: np.ndarray | int = 0, last: np.ndarray | None = None) -> np.ndarray:
+        """Index of each value (first, if repeated) in the sequence, or -1.
+
+        Only places from ``first`` to before ``last`` are looked at, where given.
+        """
         if not self.size or not len(values):
             return np.full(len(values), -1, np.int64)
         high = (values >> np.uint64(self.width)).astype(np.int64)
-        begin = np.where(high > 0, self._select_zero(np.maximum(high - 1, 0)) - high + 1, 0)
-        end = self._select_zero(high) - high
+        begin = np.where(high > 0, self._select(np.maximum(high - 1, 0), False) - high + 1, 0)
+        end = self._select(high, False) - high
+        begin = np.maximum(begin, first)
+        end = np.maximum(begin, end if last is None else np.minimum(end, last))
         low = values & np.uint64((1 << self.width) - 1)
         # First element of the run whose low part is no less: its successor.
         left, right = begin.copy(), end.copy()
@@ -118,6 +125,4 @@ class EliasFano(NamedTuple):
 
     def values(self, i: np.ndarray) -> np.ndarray:
         """The numbers at the given places."""
-        bits = np.unpackbits(np.asarray(self.high), bitorder="little")[: int(self.zeros[-1]) + self.size]
-        ones = np.flatnonzero(bits)[: self.size]
-        return ((ones[i] - i).astype(np.uint64) << np.uint64(self.width)) | self._low(i)
+        return ((self._select(i, True) - i).astype(np.uint64) << np.uint64(self.width)) | self._low(i)

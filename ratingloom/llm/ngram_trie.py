@@ -10,8 +10,11 @@ A shard's trie has two levels: its words, ascending, and under each word its
 previous words, ascending and offset by the word's place so that the whole level
 is one monotone sequence; level one points to where each word's range begins.
 All three are Elias-Fano coded, with quantised log probabilities beside them, in
-memory-mapped files of the task.  A bigram is found by successor search relative
-to its word.
+memory-mapped files of the task.  A bigram is found by successor search between
+the two pointers of its word.
+
+The number of shards follows from the number of tokens, and a task works on one
+shard at a time, in two passes over its packed rows: counting pairs, then scoring.
 
 Words that make up a thousandth of all tokens or more (so a thousand at most)
 are spread over shards by their previous word, with their counts known
@@ -35,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratingloom.llm.batches import grouped_tables, list_column, pieces
+from ratingloom.llm.batches import grouped_tables, list_column, pieces, released
 from ratingloom.llm.elias_fano import EliasFano
 from ratingloom.llm.words import mix, word_hashes
 from ratingloom.scratch import materialize
@@ -44,8 +47,10 @@ from ratingloom.scratch import materialize
 PRIOR = 200.0
 #: A word with one in so many tokens is spread over shards.
 HOT = 1000
-#: Shards per shuffle partition.
-SHARDS = 4
+#: Tokens that a shard aims at, and bytes of its packed rows beyond which they are held in a file.
+SHARD_TOKENS, HELD_BYTES = 1_000_000, 96_000_000
+#: Documents whose sums a task holds before it sends them on.
+SUM_ROWS = 300_000
 #: Words that a counting task holds before it sends their sums on.
 VOCABULARY_ROWS = 750_000
 #: Step of the quantised base-10 logarithms, and the lowest one held.
@@ -97,7 +102,8 @@ class Trie:
 
     def numerators(self, word: np.ndarray, previous: np.ndarray) -> np.ndarray:
         """log10 of c(previous, word) + m * P(word), for words by their index."""
-        at = self.pairs.find((word.astype(np.uint64) << np.uint64(32)) | previous.astype(np.uint64))
+        begin, end = (self.ranges.values(at).astype(np.int64) for at in (word, word + 1))
+        at = self.pairs.find((word.astype(np.uint64) << np.uint64(32)) | previous.astype(np.uint64), begin, end)
         codes = np.where(at >= 0, self.seen[np.maximum(at, 0)] if len(self.seen) else 0, self.unseen[word])
         return _value(codes)
 
@@ -202,74 +208,170 @@ def _occurrences(rows: DataFrame, hot: np.ndarray, shards: int) -> DataFrame:
     return rows.mapInArrow(compute, _TOKENS)
 
 
-def _scores(occurrences: DataFrame, hot: dict[int, int], total: int, vocabulary: int, prior: float) -> DataFrame:
-    """Sums over each shard's tokens, one row per piece of documents and task."""
+class _Rows:
+    """A shard's packed rows, read twice; large shards lie in a compressed file of the task."""
+
+    def __init__(self, folder: str) -> None:
+        self.path = os.path.join(folder, "rows.arrow")
+        self.batches: list[pa.RecordBatch] = []
+        self.size, self.writer = 0, None
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        if self.writer is None and self.size + batch.nbytes > HELD_BYTES:
+            self.writer = pa.ipc.new_file(self.path, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd"))
+            for held in self.batches:
+                self.writer.write_batch(held)
+            self.batches = []
+        if self.writer is None:
+            self.batches.append(batch)
+        else:
+            self.writer.write_batch(batch)
+        self.size += batch.nbytes
+
+    def read(self) -> Iterator[pa.RecordBatch]:
+        if self.writer is None:
+            yield from self.batches
+            return
+        self.writer.close()
+        with pa.memory_map(self.path) as source:
+            reader = pa.ipc.open_file(source)
+            for i in range(reader.num_record_batches):
+                yield reader.get_batch(i)
+
+
+def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of every token: its word as a place in the batch's distinct words, and its previous one; and those words."""
+    runs = batch.column("runs").flatten().to_numpy()
+    words, of_run = np.unique(batch.column("words").flatten().to_numpy().view(np.uint64), return_inverse=True)
+    return np.repeat(of_run.astype(np.int32), runs), batch.column("previous").flatten().to_numpy().view(np.uint32), words
+
+
+def _pairs(place: np.ndarray, previous: np.ndarray) -> np.ndarray:
+    return (place.astype(np.uint64) << np.uint64(32)) | previous.astype(np.uint64)
+
+
+def _shard_trie(rows: _Rows, folder: str, hot_words: np.ndarray, hot_counts: np.ndarray, total: int, vocabulary: int, prior: float) -> Trie:
+    """Counts of the shard's training words and pairs, as a trie."""
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        word, previous, times = (np.concatenate(x) for x in zip(*held))
+        order = np.lexsort((previous, word))
+        word, previous, times = word[order], previous[order], times[order]
+        new = np.ones(len(word), bool)
+        new[1:] = (word[1:] != word[:-1]) | (previous[1:] != previous[:-1])
+        begins = np.flatnonzero(new)
+        return word[begins], previous[begins], np.add.reduceat(times, begins) if len(begins) else times
+
+    size = 0
+    for batch in rows.read():
+        batch = batch.filter(batch.column("train"))
+        place, previous, words = _unpacked(batch)
+        pairs, times = np.unique(_pairs(place, previous), return_counts=True)
+        held.append((words[(pairs >> np.uint64(32)).astype(np.int64)], (pairs & np.uint64(0xFFFFFFFF)).astype(np.uint32), times))
+        size += len(pairs)
+        if size > 4 * SHARD_TOKENS:
+            held = [merged()]
+            size = len(held[0][0])
+    word, previous, times = merged() if held else (np.empty(0, np.uint64), np.empty(0, np.uint32), np.empty(0, np.int64))
+    words, at = np.unique(word, return_inverse=True)
+    known = np.bincount(at, times, len(words)).astype(np.int64)
+    # A hot word's pairs are spread over shards, so its count is the one known beforehand.
+    spread = np.searchsorted(words, hot_words)
+    here = np.array([i for i, w in enumerate(spread) if w < len(words) and words[w] == hot_words[i]], np.int64)
+    known[spread[here]] = hot_counts[here]
+    return Trie(folder, words, known, at.astype(np.int64), previous, times, total, vocabulary, prior)
+
+
+def _batch_scores(batch: pa.RecordBatch, trie: Trie, hot_words: np.ndarray, hot_counts: np.ndarray, total: int, vocabulary: int, prior: float) -> tuple[np.ndarray, ...]:
+    """Documents of a batch's tokens, and their known tokens and sums; every distinct word and pair is looked up once."""
+    place, previous, words = _unpacked(batch)
+    lengths = np.diff(batch.column("previous").offsets.to_numpy())
+    docs = batch.column("docs").flatten().to_numpy().astype(np.int64)
+    owner = (np.repeat(batch.column("piece").to_numpy(), lengths) << 15) | docs
+    index = trie.find_words(words)
+    count = np.where(index >= 0, trie.known[np.maximum(index, 0)] if len(trie.known) else 0, 0)
+    if len(hot_words):
+        # A hot word's count is known even where no training occurrence fell into this shard.
+        slot = np.minimum(np.searchsorted(hot_words, words), len(hot_words) - 1)
+        count = np.where(hot_words[slot] == words, hot_counts[slot], count)
+    pairs, of_pair = np.unique(_pairs(place, previous), return_inverse=True)
+    word, before = (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    numerator = _value(_quantise(np.log10(prior * (count + 1.0) / (total + vocabulary + 1.0))))[word]
+    live = np.flatnonzero(index[word] >= 0)
+    numerator[live] = trie.numerators(index[word[live]], before[live])
+    # As the previous token of the next one, a word also brings its denominator.
+    numerator -= np.where(words == _END, 0.0, np.log10(count + prior))[word]
+    owners, which = np.unique(owner, return_inverse=True)
+    known, base = (count > 0).astype(float)[place], np.log10(count + 1.0)[place]
+    return owners, *(np.bincount(which, of_token, len(owners)) for of_token in (known, base, numerator[of_pair]))
+
+
+def _scores(occurrences: DataFrame, hot: dict[int, int], shards: int, total: int, vocabulary: int, prior: float) -> DataFrame:
+    """Sums over each shard's tokens, one row per piece of documents and task, or more where a task has very many."""
     hot_words = np.array(sorted(w & 0xFFFFFFFFFFFFFFFF for w in hot), np.uint64)
     hot_counts = np.array([hot[int(np.uint64(w).view(np.int64))] for w in hot_words], np.int64)
     names = [field.split()[0] for field in _SUMS.split(", ")]
+    model = (hot_words, hot_counts, total, vocabulary, prior)
+
+    def listed(owners: np.ndarray, known: np.ndarray, base: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
+        piece = owners >> 15
+        begins = np.flatnonzero(np.diff(piece, prepend=-1))
+        lengths = np.diff(np.append(begins, len(owners)))
+        values = [(owners & 0x7FFF).astype(np.int16), known.astype(np.int32), base, score]
+        rest = [pa.nulls(len(begins), pa.list_(k)) for k in (pa.int64(), pa.bool_(), pa.int32())]
+        return pa.RecordBatch.from_arrays([pa.array(piece[begins]), *(list_column(v, lengths) for v in values), *rest], names)
+
+    def merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+        owner, *sums = (np.concatenate(x) for x in zip(*parts))
+        owners, which = np.unique(owner, return_inverse=True)
+        return owners, *(np.bincount(which, s, len(owners)) for s in sums)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with tempfile.TemporaryDirectory() as folder:
-            # The partition is spooled, so that its size is not bound by memory.
-            kinds = {"words": np.uint64, "previous": np.uint32, "owners": np.int64, "train": np.bool_}
-            files = {n: open(os.path.join(folder, f"{n}.bin"), "wb") for n in kinds}
-            size = 0
-            for batch in batches:
+        parts: list[tuple[np.ndarray, ...]] = []
+        size = 0
+        for rows, folder in _by_shard(batches):
+            for batch in rows.read():
                 own = batch.filter(batch.column("ids").is_valid())
                 if own.num_rows:
                     empty = [pa.nulls(own.num_rows, pa.list_(k)) for k in (pa.int16(), pa.int32(), pa.float64(), pa.float64())]
                     yield pa.RecordBatch.from_arrays([own.column("piece"), *empty, *(own.column(c) for c in ("ids", "held", "sizes"))], names)
-                lengths = np.diff(batch.column("previous").offsets.to_numpy())
-                np.repeat(batch.column("words").flatten().to_numpy(), batch.column("runs").flatten().to_numpy()).tofile(files["words"])
-                batch.column("previous").flatten().to_numpy().tofile(files["previous"])
-                docs = batch.column("docs").flatten().to_numpy().astype(np.int64)
-                ((np.repeat(batch.column("piece").to_numpy(), lengths) << 15) | docs).tofile(files["owners"])
-                np.repeat(batch.column("train").to_numpy(zero_copy_only=False).astype(bool), lengths).tofile(files["train"])
-                size += int(lengths.sum())
-            for file in files.values():
-                file.close()
-            if not size:
-                return
-            word, previous, owner, train = (np.memmap(os.path.join(folder, f"{n}.bin"), kind, "r") for n, kind in kinds.items())
-
-            words, at = np.unique(word[train], return_inverse=True)
-            known = np.bincount(at, minlength=len(words)).astype(np.int64)
-            spread = np.searchsorted(words, hot_words)
-            here = np.array([i for i, w in enumerate(spread) if w < len(words) and words[w] == hot_words[i]], np.int64)
-            known[spread[here]] = hot_counts[here]
-            pairs, times = np.unique((at.astype(np.uint64) << np.uint64(32)) | previous[train], return_counts=True)
-            trie = Trie(folder, words, known, (pairs >> np.uint64(32)).astype(np.int64), (pairs & np.uint64(0xFFFFFFFF)).astype(np.uint32), times, total, vocabulary, prior)
-            del at, pairs, times
-
-            # Every distinct word, then every distinct pair of the partition is looked up once.
-            asked, place = np.unique(word, return_inverse=True)
-            place = place.astype(np.int32) if len(asked) < 1 << 31 else place
-            index = trie.find_words(asked)
-            count = np.where(index >= 0, trie.known[np.maximum(index, 0)] if len(words) else 0, 0)
-            if len(hot_words):
-                # A hot word's count is known even where no training occurrence fell into this shard.
-                slot = np.minimum(np.searchsorted(hot_words, asked), len(hot_words) - 1)
-                count = np.where(hot_words[slot] == asked, hot_counts[slot], count)
-            unseen = np.log10(prior * (count + 1.0) / (total + vocabulary + 1.0))
-            numerator = _value(_quantise(unseen))[place]
-            live = np.flatnonzero(index[place] >= 0)
-            keys, back = np.unique((index[place[live]].astype(np.uint64) << np.uint64(32)) | previous[live], return_inverse=True)
-            numerator[live] = trie.numerators((keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32))[back]
-            del keys, back, live
-            # As the previous token of the next one, a word also brings its denominator.
-            numerator -= np.where(asked == _END, 0.0, np.log10(count + prior))[place]
-            owners, which = np.unique(owner, return_inverse=True)
-            sums = [np.bincount(which, numerator, len(owners))]
-            del numerator
-            sums = [np.bincount(which, of_word[place], len(owners)) for of_word in ((count > 0).astype(float), np.log10(count + 1.0))] + sums
-            piece = owners >> 15
-            begins = np.flatnonzero(np.diff(piece, prepend=-1))
-            lengths = np.diff(np.append(begins, len(owners)))
-            values = [(owners & 0x7FFF).astype(np.int16), sums[0].astype(np.int32), sums[1], sums[2]]
-            rest = [pa.nulls(len(begins), pa.list_(k)) for k in (pa.int64(), pa.bool_(), pa.int32())]
-            yield pa.RecordBatch.from_arrays([pa.array(piece[begins]), *(list_column(v, lengths) for v in values), *rest], names)
-
-    return occurrences.repartition("shard").mapInArrow(compute, _SUMS)
+            trie = _shard_trie(rows, folder, *model)
+            for batch in rows.read():
+                parts.append(_batch_scores(batch, trie, *model))
+                size += len(parts[-1][0])
+                if size > 2 * SUM_ROWS:
+                    parts = [merged(parts)]
+                    size = len(parts[0][0])
+                    if size > SUM_ROWS:  # what is held stays bounded
+                        yield listed(*parts[0])
+                        parts, size = [], 0
+        if parts:
+            yield listed(*merged(parts))
+
+    parallel = int(occurrences.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = occurrences.repartition(max(parallel, shards // 8), "shard").sortWithinPartitions("shard")
+    return dealt.mapInArrow(released(compute), _SUMS)
+
+
+def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[_Rows, str]]:
+    """The rows of one shard after the other, with a folder for its files."""
+    current, rows, folder = None, None, None
+    for batch in batches:
+        shard = batch.column("shard").to_numpy()
+        begins = np.flatnonzero(np.diff(shard, prepend=-1)).tolist()
+        for begin, end in zip(begins, [*begins[1:], len(shard)]):
+            if shard[begin] != current:
+                if rows is not None:
+                    yield rows, folder.name
+                    folder.cleanup()
+                folder = tempfile.TemporaryDirectory()
+                current, rows = shard[begin], _Rows(folder.name)
+            # Copied, so that a slice does not keep its whole batch.
+            rows.add(batch.slice(begin, end - begin) if end - begin == len(shard) else batch.take(pa.array(np.arange(begin, end))))
+    if rows is not None:
+        yield rows, folder.name
+        folder.cleanup()
 
 
 def _by_document(sums: DataFrame, schema: str) -> DataFrame:
@@ -290,7 +392,6 @@ def _by_document(sums: DataFrame, schema: str) -> DataFrame:
 
 def score_texts(docs: DataFrame, held_out: Column, prior: float = PRIOR) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
-    spark = docs.sparkSession
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
     counted = materialize(_vocabulary(keyed.where("NOT held_out")), "vocabulary")
     total, vocabulary = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
@@ -299,9 +400,9 @@ def score_texts(docs: DataFrame, held_out: Column, prior: float = PRIOR) -> Data
     # Every training text has one end.
     begins = counted.where(F.col("word") == int(_END)).agg(F.sum("n")).first()[0] or 0
 
-    shards = SHARDS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = max(1, math.ceil(total / SHARD_TOKENS))
     hot_words = np.array([w & 0xFFFFFFFFFFFFFFFF for w in hot], np.uint64)
-    parts = _scores(_occurrences(keyed, hot_words, shards), hot, total, vocabulary, prior)
+    parts = _scores(_occurrences(keyed, hot_words, shards), hot, shards, total, vocabulary, prior)
     summed = _by_document(parts, "doc_id long, held_out boolean, n_tokens long, known long, base double, score double")
     return summed.select(
         "doc_id",

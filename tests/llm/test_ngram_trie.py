@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -28,6 +29,46 @@ def test_elias_fano_finds_the_first_of_equal_values():
     assert EliasFano.build(values, 10).find(np.array([0, 3, 9, 4], np.uint64)).tolist() == [0, 2, 5, -1]
 
 
+def test_successors_are_searched_within_a_range():
+    values = np.array([2, 5, 9, 2 + 16, 9 + 16, 5 + 32], np.uint64)
+    coded = EliasFano.build(values, 48)
+    asked = np.array([5, 5, 25, 25, 37], np.uint64)
+    first, last = np.array([0, 2, 3, 0, 5]), np.array([3, 3, 5, 4, 6])
+    assert coded.find(asked, first, last).tolist() == [1, -1, 4, -1, 5]
+
+
+def test_every_level_of_the_trie_is_read(tmp_path):
+    """Words, pointers and pairs: a pair is found between its word's pointers, and nowhere else."""
+    words, known = np.array([10, 20, 30], np.uint64), np.array([3, 1, 2])
+    word, previous, times = np.array([0, 0, 1, 2]), np.array([7, 9, 7, 1], np.uint32), np.array([2, 1, 1, 2])
+    trie = ngram_trie.Trie(str(tmp_path), words, known, word, previous, times, 6, 3, 1.0)
+    asked_word, asked = np.array([0, 0, 1, 1, 2]), np.array([7, 8, 7, 9, 1], np.uint32)
+    p = (known + 1) / 10
+    want = [2 + p[0], p[0], 1 + p[1], p[1], 2 + p[2]]
+    assert np.allclose(10 ** trie.numerators(asked_word, asked), want, rtol=0.003)
+    moved = EliasFano.build(np.array([0, 0, 0, 4], np.uint64), 5)  # all pairs under the last word
+    trie.ranges = moved
+    assert np.allclose(10 ** trie.numerators(asked_word, asked)[:4], [p[0], p[0], p[1], p[1]], rtol=0.003)
+    assert trie.find_words(np.array([20, 21], np.uint64)).tolist() == [1, -1]
+
+
+def test_held_rows_are_read_twice_from_memory_or_a_file(tmp_path, monkeypatch):
+    monkeypatch.setattr(ngram_trie, "HELD_BYTES", 2_000)
+    batches = [pa.RecordBatch.from_arrays([pa.array(np.arange(n))], ["n"]) for n in (3, 200, 0, 500)]
+    for some in (batches[:2], batches, []):
+        rows = ngram_trie._Rows(str(tmp_path))
+        for batch in some:
+            rows.add(batch)
+        for _ in range(2):
+            assert [b.num_rows for b in rows.read()] == [b.num_rows for b in some]
+    assert (tmp_path / "rows.arrow").exists()
+
+
+def test_many_shards(documents, monkeypatch):
+    monkeypatch.setattr(ngram_trie, "SHARD_TOKENS", 3_000)
+    check(documents, [(r["doc_id"], r["text"]) for r in documents.collect()])
+
+
 def slow_scores(rows, prior):
     def split(text):
         text = (text or "").translate({c: c + 32 for c in range(65, 91)})
