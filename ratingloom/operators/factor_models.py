@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,6 +72,26 @@ def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
     return scored.select(*pairs.columns, score.alias("prediction"))
 
 
+def predict_all(models: Sequence[ALSModel], pairs: DataFrame) -> DataFrame:
+    """``predict`` of several models at once: (ordinal, the pairs' columns, prediction).
+
+    The models' factors of a user or item are stacked in one row, so the pairs are
+    joined to each side once however many models there are.  All models must know the
+    same users and items, as fits on the same ratings do.
+    """
+
+    def stacked(side: str, key: str, name: str) -> DataFrame:
+        factors = [getattr(model, side).select(F.col("id").alias(key), F.struct(F.lit(at).alias("ordinal"), "features").alias("one")) for at, model in enumerate(models)]
+        rows = reduce(DataFrame.union, factors).groupBy(key).agg(F.sort_array(F.collect_list("one")).alias(name))
+        return materialize(rows, f"stacked-{key}")
+
+    users, items = stacked("userFactors", "user_idx", "_users"), stacked("itemFactors", "item_idx", "_items")
+    scored = attach_counted(pairs, users, "user_idx")
+    scored = attach_counted(scored, items, "item_idx", counted=pairs)
+    each = F.zip_with("_users", "_items", lambda p, q: F.struct(p["ordinal"].alias("ordinal"), dot(p["features"], q["features"]).cast("float").alias("prediction")))
+    return scored.select(*pairs.columns, F.explode(each).alias("one")).select("one.ordinal", *pairs.columns, "one.prediction")
+
+
 def recommend_for_users(model: ALSModel, users: DataFrame, n: int = 10, seen: DataFrame | None = None) -> DataFrame:
     """(user_idx, rank, item_idx, score) for the requested ``user_idx`` values.
 

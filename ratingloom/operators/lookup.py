@@ -79,8 +79,12 @@ def attach_counted(
 ) -> DataFrame:
     """Inner join to a table unique on ``key``, sliced by the counts of the frame joined.
 
-    ``counted`` is a cheaper frame with at least as many rows of every key.
+    ``counted`` is a cheaper frame with at least as many rows of every key.  Only
+    where some key is hot are the counts kept and stored beside the table.
     """
     counts = key_counts(rows if counted is None else counted, key)
+    if (counts.agg(F.max("cnt")).first()[0] or 0) <= slice_rows:
+        columns = [*rows.columns, *(name for name in table.columns if name not in (key, "cnt"))]
+        return rows.join(table.drop("cnt"), key).select(columns)
     known = store_keys(table.drop("cnt").join(counts, key), f"counted-{key}")
     return attach(rows, known, key, slice_rows=slice_rows)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import partial
 
@@ -35,6 +36,11 @@ class RatingSums:
         whole = users.rows.agg(F.sum("user_sum") / F.sum("cnt"))
         return cls(whole.first()[0], users, items)
 
+    def attached(self, pairs: DataFrame) -> DataFrame:
+        """Pairs with the sums of their user and item; those without are dropped."""
+        scored = attach_counted(pairs, self.items.rows, "item_idx")
+        return attach_counted(scored, self.users.rows, "user_idx", counted=pairs)
+
     def fit(self, train: DataFrame, item_damping: float, user_damping: float) -> BiasModel:
         return BiasModel(self, item_damping, user_damping)
 
@@ -54,9 +60,18 @@ class BiasModel:
         count = F.col(f"{name}_cnt")
         return (F.col(f"{name}_sum") - self.sums.mean * count) / (count + damping)
 
+    def prediction(self) -> Column:
+        """From the columns of a pair with the sums of its user and item."""
+        biases = self._bias("item", self.item_damping) + self._bias("user", self.user_damping)
+        return F.round(self.sums.mean + biases, 9).alias("prediction")
+
     def transform(self, pairs: DataFrame) -> DataFrame:
         """Add ``prediction``; pairs with an unseen user or item are dropped."""
-        scored = attach_counted(pairs, self.sums.items.rows, "item_idx")
-        scored = attach_counted(scored, self.sums.users.rows, "user_idx", counted=pairs)
-        biases = self._bias("item", self.item_damping) + self._bias("user", self.user_damping)
-        return scored.select(*pairs.columns, F.round(self.sums.mean + biases, 9).alias("prediction"))
+        return self.sums.attached(pairs).select(*pairs.columns, self.prediction())
+
+
+def predict_all(models: Sequence[BiasModel], pairs: DataFrame) -> DataFrame:
+    """(ordinal, the pairs' columns, prediction) of models of the same sums, which are joined once."""
+    each = F.array(*[F.struct(F.lit(at).alias("ordinal"), model.prediction()) for at, model in enumerate(models)])
+    scored = models[0].sums.attached(pairs).select(*pairs.columns, F.explode(each).alias("one"))
+    return scored.select("one.ordinal", *pairs.columns, "one.prediction")

@@ -26,7 +26,7 @@ from ratingloom.operators import (
     thresholds,
 )
 from ratingloom.operators.nearest import top_n
-from ratingloom.plans import inputs, lookup_items, serve_tables
+from ratingloom.plans import bias_model, inputs, lookup_items, serve_tables
 from ratingloom.plans.bias_model import RatingSums
 from ratingloom.plans.etl import preprocess_reviews
 from ratingloom.scratch import materialize, scratch_path
@@ -639,7 +639,7 @@ named AS (
 
 def _trials(spark: SparkSession, folder: str) -> DataFrame:
     train, validation = _split_pairs(spark, folder)
-    trials, _ = grid.search(train, validation, grid.grid(_AXES), RatingSums.of(train).fit, K)
+    trials, _ = grid.search(train, validation, grid.grid(_AXES), RatingSums.of(train).fit, K, score_all=bias_model.predict_all)
     return grid.trials_frame(spark, trials)
 
 
@@ -1168,7 +1168,7 @@ def als_grid(spark, folder):
             grid.grid(grid.ALS_GRID),
             lambda t, **p: factor_models.fit_als(t, maxIter=_ALS["maxIter"], **p),
             K,
-            score=factor_models.predict,
+            score_all=factor_models.predict_all,
         )
     finally:
         train.unpersist(), validation.unpersist()

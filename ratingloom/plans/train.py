@@ -14,7 +14,7 @@ from typing import Any
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from ratingloom.operators.factor_models import BLOCKS, fit_als, predict
+from ratingloom.operators.factor_models import BLOCKS, fit_als, predict_all
 from ratingloom.operators.grid import ALS_GRID, best_trial, grid, search, trials_frame
 from ratingloom.operators.splitting import hash_sample, hash_split
 from ratingloom.scratch import scratch_tables
@@ -55,7 +55,7 @@ def train_als(
     )
     try:
         fit = partial(fit_als, alpha=alpha, maxIter=maxIter, seed=seed, blocks=blocks, implicit=implicit)
-        trials, model = search(train, validation, grid(axes), fit, k, score=predict)
+        trials, model = search(train, validation, grid(axes), fit, k, score_all=predict_all)
     finally:
         train.unpersist()
         validation.unpersist()
