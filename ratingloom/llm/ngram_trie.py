@@ -48,7 +48,9 @@ PRIOR = 200.0
 #: A word with one in so many tokens is spread over shards.
 HOT = 1000
 #: Tokens that a shard aims at, and bytes of its packed rows beyond which they are held in a file.
-SHARD_TOKENS, HELD_BYTES = 1_000_000, 96_000_000
+SHARD_TOKENS, HELD_BYTES = 500_000, 32_000_000
+#: Tokens whose pairs are sorted at once, unless one piece of documents has more in a shard.
+SORTED_TOKENS = 200_000
 #: Documents whose sums a task holds before it sends them on.
 SUM_ROWS = 300_000
 #: Words that a counting task holds before it sends their sums on.
@@ -238,6 +240,18 @@ class _Rows:
             for i in range(reader.num_record_batches):
                 yield reader.get_batch(i)
 
+    def slices(self) -> Iterator[pa.RecordBatch]:
+        """The same rows, about ``SORTED_TOKENS`` tokens at a time."""
+        for batch in self.read():
+            ends = batch.column("previous").offsets.to_numpy()[1:]
+            ends = ends - batch.column("previous").offsets.to_numpy()[0]
+            begin = 0
+            while begin < batch.num_rows:
+                before = ends[begin - 1] if begin else 0
+                end = max(begin + 1, int(np.searchsorted(ends, before + SORTED_TOKENS, side="right")))
+                yield batch.slice(begin, end - begin)
+                begin = end
+
 
 def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of every token: its word as a place in the batch's distinct words, and its previous one; and those words."""
@@ -264,7 +278,7 @@ def _shard_trie(rows: _Rows, folder: str, hot_words: np.ndarray, hot_counts: np.
         return word[begins], previous[begins], np.add.reduceat(times, begins) if len(begins) else times
 
     size = 0
-    for batch in rows.read():
+    for batch in rows.slices():
         batch = batch.filter(batch.column("train"))
         place, previous, words = _unpacked(batch)
         pairs, times = np.unique(_pairs(place, previous), return_counts=True)
@@ -337,7 +351,7 @@ def _scores(occurrences: DataFrame, hot: dict[int, int], shards: int, total: int
                     empty = [pa.nulls(own.num_rows, pa.list_(k)) for k in (pa.int16(), pa.int32(), pa.float64(), pa.float64())]
                     yield pa.RecordBatch.from_arrays([own.column("piece"), *empty, *(own.column(c) for c in ("ids", "held", "sizes"))], names)
             trie = _shard_trie(rows, folder, *model)
-            for batch in rows.read():
+            for batch in rows.slices():
                 parts.append(_batch_scores(batch, trie, *model))
                 size += len(parts[-1][0])
                 if size > 2 * SUM_ROWS:
