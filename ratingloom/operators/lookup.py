@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation
@@ -17,11 +18,13 @@ class KeyTable(NamedTuple):
     """A stored table, unique on its key.
 
     ``cnt`` is how many rows of the frame it will be joined to carry the key, or
-    an upper bound; ``peak`` is the largest ``cnt``.
+    an upper bound; ``peak`` is the largest ``cnt``.  A table that has no ``cnt`` yet
+    gives the one that has it by ``counted``, for those who need it.
     """
 
     rows: DataFrame
     peak: int
+    counted: Callable[[], DataFrame] | None = None
 
 
 def key_counts(rows: DataFrame, key: str) -> DataFrame:
@@ -54,6 +57,7 @@ def attach(
     if table.peak <= slice_rows:
         return rows.join(lookup.drop("cnt"), key, how).select(columns)
 
+    lookup = table.counted() if table.counted is not None else lookup
     slices = F.ceil(F.col("cnt") / slice_rows).cast("int")
     hot = lookup.where(F.col("cnt") > slice_rows).select(key, slices.alias("_slices"))
     # Copies of one row read by different tasks must not share a slice either,
@@ -83,8 +87,9 @@ def attach_counted(
     where some key is hot are the counts kept and stored beside the table.
     """
     counts = key_counts(rows if counted is None else counted, key)
-    if (counts.agg(F.max("cnt")).first()[0] or 0) <= slice_rows:
-        columns = [*rows.columns, *(name for name in table.columns if name not in (key, "cnt"))]
-        return rows.join(table.drop("cnt"), key).select(columns)
-    known = store_keys(table.drop("cnt").join(counts, key), f"counted-{key}")
-    return attach(rows, known, key, slice_rows=slice_rows)
+    peak = counts.agg(F.max("cnt")).first()[0] or 0
+
+    def with_counts() -> DataFrame:
+        return store_keys(table.drop("cnt").join(counts, key), f"counted-{key}").rows
+
+    return attach(rows, KeyTable(table, peak, with_counts), key, slice_rows=slice_rows)
