@@ -150,9 +150,90 @@ def _centroid_rounds(rounds: int) -> str:
     return ",".join(parts)
 
 
+def _edit(state: str, weight: str, letter: str, line: str) -> str:
+    """A cheapest end (ten digits of cost, audit, chr(1), repaired lines) with one more edit before it."""
+    rest = f"substr({state}, 11)"
+    return (
+        f"lpad(CAST(CAST(substr({state}, 1, 10) AS BIGINT) + {weight} AS VARCHAR), 10, '0') || '{letter}' "
+        f"|| split_part({rest}, chr(1), 1) || chr(1) || {line} || substr({rest}, instr({rest}, chr(1)) + 1)"
+    )
+
+
+def _with_inserts(p: str) -> str:
+    """Cheapest ends of every state, with rows inserted before them: an answer after u, a question after any other."""
+    answer, question = _edit("f3", "3", "I", "chr(10) || 'assistant:'"), _edit("f2", "3", "I", "chr(10) || 'user:'")
+    ahead = _edit("g2", "3", "I", "chr(10) || 'user:'")
+    return f"""
+        SELECT {p}, least(f0, {ahead}) AS g0, least(f1, {ahead}) AS g1, g2, g3
+        FROM (SELECT *, least(f2, {answer}) AS g2, least(f3, {question}) AS g3 FROM ends)"""
+
+
+def _row_edits() -> str:
+    """Cheapest ends of every state before a row: deleted, kept, or with another role."""
+    kept = "chr(10) || role || ':' || text"
+    give = {"g2": _edit("g2", "3 + extra", "R", "chr(10) || 'user:' || text"), "g3": _edit("g3", "3 + extra", "R", "chr(10) || 'assistant:' || text")}
+    keep = {g: _edit(g, "extra", "K", kept) for g in ("g1", "g2", "g3")}
+    follows = {0: "g2", 1: "g2", 2: "g3", 3: "g2"}
+    columns = []
+    for p, g in follows.items():
+        own = {"g2": "u", "g3": "a"}[g]
+        system = f"WHEN initial = 's' THEN {keep['g1']} " if p == 0 else ""
+        columns.append(f"""least({_edit(f"g{p}", "4", "D", "''")},
+            CASE WHEN NOT goes THEN least(CASE WHEN initial = '{own}' THEN {keep[g]} {system}END, {give[g]}) END) AS f{p}""")
+    return ",\n        ".join(columns)
+
+
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES: dict[str, str] = {
+    "op12_conversation_repair": f"""
+        WITH RECURSIVE crc_table AS (
+            SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+        dealt AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   xor(list_reduce(list_prepend(4294967295, list_transform(string_split(
+                       coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+                       lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS fault
+            FROM conversations, crc_table),
+        damaged AS (
+            SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+                   CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                   unnest(CASE WHEN fault = 3 THEN [0, 1] ELSE [0] END) AS copy
+            FROM dealt WHERE fault <> 0),
+        numbered AS (
+            SELECT *, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS cid, left(role, 1) AS initial,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n,
+                   rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS words
+            FROM damaged),
+        judged AS (
+            SELECT *, CASE WHEN words = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY cid, role, text ORDER BY n) > 1 THEN 'duplicate' WHEN right(words, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS wrong,
+                   CASE WHEN n > 1 AND lag(initial) OVER (PARTITION BY cid ORDER BY n) || initial NOT IN ('su', 'ua', 'au') THEN 1 ELSE 0 END AS unlawful
+            FROM numbered),
+        edited AS (SELECT cid, n, role, text, initial, wrong IN ('blank', 'duplicate') AS goes, CASE WHEN wrong = 'truncated' THEN 3 ELSE 0 END AS extra FROM judged),
+        states(cid, i, g0, g1, g2, g3) AS (
+            WITH ends AS (SELECT cid, max(n) AS i, repeat('0', 10) || chr(1) AS f0, CAST(NULL AS VARCHAR) AS f1, CAST(NULL AS VARCHAR) AS f2, repeat('0', 10) || chr(1) AS f3 FROM edited GROUP BY cid)
+            {_with_inserts("cid, i")}
+            UNION ALL
+            (WITH ends AS (
+                SELECT states.cid, states.i - 1 AS i,
+        {_row_edits()}
+                FROM states JOIN edited ON edited.cid = states.cid AND edited.n = states.i)
+            {_with_inserts("cid, i")})),
+        cheapest AS (
+            SELECT cid, CAST(substr(g0, 1, 10) AS BIGINT) AS cost, split_part(substr(g0, 11), chr(1), 1) AS audit,
+                   sha256(substr(g0, 10 + instr(substr(g0, 11), chr(1)) + 2)) AS repaired_sha256
+            FROM states WHERE i = 0),
+        counted AS (
+            SELECT cid, any_value(conv_id) AS conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                   count(*) FILTER (wrong = 'blank') AS blank, count(*) FILTER (wrong = 'duplicate') AS duplicate,
+                   count(*) FILTER (wrong = 'truncated') AS truncated, CAST(sum(unlawful) AS BIGINT) AS illegal
+            FROM judged GROUP BY cid)
+        SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+               coalesce(audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) o
+        LEFT JOIN (SELECT * FROM counted JOIN cheapest USING (cid)) f ON f.conv IS NOT DISTINCT FROM o.conv_id""",
     "op11_centroid_clustering": f"""
         WITH kept AS MATERIALIZED (
             SELECT row_number() OVER () AS r, vec_id,

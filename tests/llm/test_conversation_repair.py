@@ -205,3 +205,16 @@ def test_repaired_rows_keep_the_law(spark, small_dir):
     for r in sorted(rows.collect(), key=lambda r: (r["part"], r["block"], r["seq"], r["step"])):
         groups.setdefault(r["conv"], []).append(r["role"][0])
     assert groups and all(LAW.fullmatch("".join(g)) for g in groups.values())
+
+
+def test_sql_twin_on_odd_rows(spark, tmp_path):
+    import duckdb
+
+    from ratingloom.llm.queries import ORACLES
+
+    rows = [(None if c is None else c + 10 * k, t, r, x) for k in range(30) for c, t, r, x in ODD if c != 4]
+    path = str(tmp_path / "conversations.parquet")
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(path)
+    db = duckdb.connect()
+    db.sql(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    assert sorted(db.sql(ORACLES["op12_conversation_repair"]).fetchall(), key=repr) == plain(rows)
