@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 
 from ratingloom.llm import embedding_dups as e
+from ratingloom.scratch import materialize
 
 SCHEMA = "vec_id long, embedding array<float>"
 
@@ -86,7 +87,7 @@ def test_leaf_recall_holds_at_any_depth(depth):
 
 def test_audit_sees_rare_links_and_failed_audits_end_exact(spark, monkeypatch):
     values = clusters(6, 24, [1] * 900 + [2], 0.05)
-    nodes = spark.createDataFrame([(i, 1, v) for i, v in values], "id long, twins long, vec array<float>").localCheckpoint()
+    nodes = materialize(spark.createDataFrame([(i, 1, v) for i, v in values], "id long, twins long, vec array<float>"), "nodes")
     monkeypatch.setattr(e, "AUDITED", 32)
     linked = {r[0] for r in brute_force(values) if r[1]}
     assert len(linked) == 2
