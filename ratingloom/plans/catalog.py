@@ -26,7 +26,7 @@ from ratingloom.operators import (
     thresholds,
 )
 from ratingloom.operators.nearest import top_n
-from ratingloom.plans import bias_model, inputs, lookup_items, serve_tables
+from ratingloom.plans import bias_model, inputs, lookup_items, serve_tables, train
 from ratingloom.plans.bias_model import RatingSums
 from ratingloom.plans.etl import preprocess_reviews
 from ratingloom.scratch import materialize, scratch_path
@@ -1043,13 +1043,29 @@ def fold_in_users(spark, folder):
 
 
 def _by_mllib(model, users: DataFrame, n: int) -> DataFrame:
-    """(user_idx, rank, expected): scores of MLlib's own recommendations."""
+    """(user_idx, rank, theirs, expected): items and scores of MLlib's own recommendations."""
     theirs = model.recommendForUserSubset(users.select("user_idx").distinct(), n)
     return theirs.select("user_idx", F.posexplode("recommendations").alias("pos", "rec")).select(
-        "user_idx", (F.col("pos") + 1).alias("rank"), F.col("rec.rating").alias("expected")
+        "user_idx", (F.col("pos") + 1).alias("rank"), F.col("rec.item_idx").alias("theirs"), F.col("rec.rating").alias("expected")
     )
 
 
+def _are_best(found: DataFrame, expected: DataFrame, subject: str, items: DataFrame, item: str) -> DataFrame:
+    """``found`` with ``is_best``: the score at each rank is MLlib's, the item is one of
+    MLlib's for the subject, or ties with the last of them, and no item comes twice.
+
+    ``items`` (item, theirs) numbers the items as MLlib does.
+    """
+    numbered = found.join(items, item, "left")
+    by_rank = expected.select(subject, "rank", "expected")
+    picks = expected.groupBy(subject).agg(F.collect_set("theirs").alias("_picks"), F.min("expected").alias("_last"))
+    judged = numbered.join(by_rank, [subject, "rank"], "left").join(picks, subject, "left")
+    once = F.count("*").over(Window.partitionBy(subject, item)) == 1
+    same = F.abs(F.col("score") - F.col("expected")) <= 1e-3
+    picked = F.array_contains("_picks", F.col("theirs")) | (F.abs(F.col("score") - F.col("_last")) <= 1e-3)
+    return judged.withColumn("is_best", F.coalesce(once & same & picked, F.lit(False))).drop("expected", "_picks", "_last", "theirs")
+
+
 @query(
     "als_recommend",
     f"""WITH {_PAIRS}, n AS (SELECT least(10, count(DISTINCT item_idx)) AS n FROM pairs)
@@ -1057,12 +1073,16 @@ def _by_mllib(model, users: DataFrame, n: int) -> DataFrame:
     FROM (SELECT DISTINCT user_idx FROM pairs), n""",
 )
 def als_recommend(spark, folder):
-    """Every user's ten items; the score at each rank is held against MLlib's."""
+    """Every user's ten items, held against MLlib's; each score must be the product of the pair's factors."""
     pairs = materialize(inputs.rated_pairs(spark, folder), "pairs")
     model = factor_models.fit_als(pairs, **_ALS)
-    found = factor_models.recommend_for_users(model, pairs, 10)
-    close = F.abs(F.col("score") - F.col("expected")) <= 1e-3
-    return found.join(_by_mllib(model, pairs, 10), ["user_idx", "rank"]).select("user_idx", "rank", close.alias("is_best"))
+    found = materialize(factor_models.recommend_for_users(model, pairs, 10), "recommended")
+    numbers = model.itemFactors.select(F.col("id").alias("item_idx"), F.col("id").alias("theirs"))
+    judged = _are_best(found, _by_mllib(model, pairs, 10), "user_idx", numbers, "item_idx")
+    users = model.userFactors.select(F.col("id").alias("user_idx"), F.col("features").alias("p"))
+    items = model.itemFactors.select(F.col("id").alias("item_idx"), F.col("features").alias("q"))
+    product = F.abs(F.col("score") - vec.dot(F.col("p"), F.col("q"))) <= 1e-4
+    return judged.join(users, "user_idx").join(items, "item_idx").select("user_idx", "rank", (F.col("is_best") & product).alias("is_best"))
 
 
 _LABELLED_POPULAR = """
@@ -1097,18 +1117,28 @@ def als_recommend_with_fallback(spark, folder):
         10,
     )
     expected = _by_mllib(model, interactions, 10).join(indexed.user_map, "user_idx").drop("user_idx")
+    numbers = indexed.item_map.select("item_id", F.col("item_idx").alias("theirs"))
     popular = F.col("source") == "popularity"
-    close = popular | F.coalesce(F.abs(F.col("score") - F.col("expected")) <= 1e-3, F.lit(False))
-    return found.join(expected, ["user_id", "rank"], "left").select(
+    found = _are_best(materialize(found, "recommended"), expected, "user_id", numbers, "item_id")
+    return found.select(
         "user_id",
         "rank",
         "source",
         F.when(popular, F.col("item_id")).alias("popular_item"),
         F.when(popular, F.col("score").cast("long")).alias("popular_count"),
-        close.alias("is_best"),
+        (popular | F.col("is_best")).alias("is_best"),
     )
 
 
+def _beating(last: DataFrame, items: DataFrame) -> DataFrame:
+    """(item_id, beating): how many other items have a greater cosine than the subject's last answer."""
+    units = items.where("q IS NOT NULL").select("other", vec.unit(F.col("q")).alias("features"))
+    subjects = last.select("item_id", vec.unit(F.col("p")).alias("features"))
+    wide = top_n(subjects, units, 12, "item_id", "other").join(last.select("item_id", "last"), "item_id")
+    better = wide.where((F.col("other") != F.col("item_id")) & (F.col("score") > F.col("last") + 1e-6))
+    return better.groupBy("item_id").agg(F.count("*").alias("beating"))
+
+
 @query(
     "als_similar_items",
     f"""WITH {_MAPS}, {_LABELLED_POPULAR}, n AS (SELECT least(5, count(*) - 1) AS n FROM item_map),
@@ -1121,7 +1151,8 @@ def als_recommend_with_fallback(spark, folder):
     FROM (SELECT item_id FROM subjects ANTI JOIN item_map USING (item_id)) s, popular_best p WHERE p.rank <= 5""",
 )
 def als_similar_items(spark, folder):
-    """Scores are held against the cosine of the stored factors, ranks against scores."""
+    """Scores are held against the cosine of the stored factors, ranks against scores, and the
+    last rank against the cosine of every other item."""
     indexed = _indexed(spark, folder)
     interactions = materialize(indexed.interactions, "interactions")
     model = factor_models.fit_als(interactions, **_ALS)
@@ -1140,13 +1171,18 @@ def als_similar_items(spark, folder):
     exact = F.abs(F.col("score") - vec.cosine(F.col("p"), F.col("q"))) <= 1e-6
     ranked = Window.partitionBy("item_id").orderBy("rank")
     descends = F.coalesce(F.col("score") <= F.lag("score").over(ranked) + 1e-9, F.lit(True))
+    # Items whose cosine beats a subject's last one must be among its answers: count them.
+    last = judged.where(~popular).groupBy("item_id").agg(F.min("score").alias("last"), F.first("p").alias("p"))
+    beating = _beating(materialize(last, "last-answers"), named.select(F.col("item_id").alias("other"), F.col("features").alias("q")))
+    judged = judged.join(beating, "item_id", "left").withColumn("beating", F.coalesce("beating", F.lit(0)))
+    answers = F.count("*").over(Window.partitionBy("item_id"))
     return judged.select(
         "item_id",
         "rank",
         "source",
         F.when(popular, F.col("similar_item_id")).alias("popular_item"),
         (popular | (exact & (F.col("item_id") != F.col("similar_item_id")))).alias("is_cosine"),
-        descends.alias("in_order"),
+        (descends & (F.col("beating") < answers)).alias("in_order"),
     )
 
 
@@ -1181,6 +1217,41 @@ def als_grid(spark, folder):
     return frame.select("ordinal", "rank", "regParam", in_range.alias("in_range"), best_by_rule.alias("best_by_rule"))
 
 
+_JOB_AXES = {"rank": (4, 8), "regParam": (0.1, 0.8)}
+
+
+@query(
+    "train_job",
+    f"""WITH {_SPLIT}, scored AS (
+      SELECT count(*) AS scored_pairs FROM validation
+      WHERE user_idx IN (SELECT user_idx FROM train) AND item_idx IN (SELECT item_idx FROM train))
+    SELECT ordinal, rank, regParam, scored_pairs, true AS as_recorded
+    FROM scored, (VALUES """
+    + ", ".join(f"({at}, {c['rank']}, {c['regParam']}::DOUBLE)" for at, c in enumerate(grid.grid(_JOB_AXES)))
+    + ") AS t(ordinal, rank, regParam)",
+)
+def train_job(spark, folder):
+    """The whole job, from interactions to a published model and a results log.
+
+    The model that was published is loaded and scores the validation pairs again: its
+    error and precision must be those recorded for the best candidate, in the log and
+    in the model's own document, and its parameters that candidate's.
+    """
+    pairs = materialize(inputs.rated_pairs(spark, folder), "pairs")
+    done = train.train_als(spark, pairs, scratch_path(spark, "artifacts"), _JOB_AXES, maxIter=4, k=K)
+    model = models.load_model(done.model_path)
+    _, validation = splitting.hash_split(pairs, 0.8, 42)
+    predictions = materialize(factor_models.predict(model, validation), "predictions")
+    again = ranking_metrics.evaluate(predictions, K, stored=True).first()
+    document = models.read_metadata_document(spark, done.model_path).first()
+    log = spark.read.parquet(done.results["runs"])
+    close = (F.abs(F.col("rmse") - F.lit(again["rmse"])) <= 1e-5) & (F.abs(F.col("precision_at_k") - F.lit(again["precision_at_k"])) <= 1e-5)
+    noted = (F.col("rank") == document["params"]["rank"]) & (F.col("regParam") == document["params"]["regParam"])
+    noted = noted & (F.col("rank") == model.rank) & (F.abs(F.col("rmse") - F.lit(document["metrics"]["rmse"])) <= 1e-9)
+    count = predictions.agg(F.count("*")).scalar()
+    return log.select("ordinal", "rank", "regParam", count.alias("scored_pairs"), (~F.col("is_best") | (close & noted)).alias("as_recorded"))
+
+
 # -- item details and feedback -------------------------------------------------
 
 
