@@ -89,6 +89,16 @@ def windows(hashes: np.ndarray, size: int) -> np.ndarray:
     return total
 
 
+def long_windows(hashes: np.ndarray, size: int) -> np.ndarray:
+    """The same at a cost that does not grow with ``size``: differences of running polynomial sums."""
+    n = len(hashes) - size + 1
+    if n <= 0:
+        return np.empty(0, np.uint64)
+    up, down = _powers_to(len(hashes))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up)])
+    return mix((sums[size:] - sums[:-size]) * down[:n])
+
+
 def shingles(hashes: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Window hashes of each row, and how many each has; a shorter row with any
     word has its whole sequence as its one window."""
