@@ -7,7 +7,9 @@ are equal, so only documents with an equal column block can link.  Those are
 the row blocks: all documents that share a column block with the same smallest
 document.  Within a row block the product of the incidence matrices adds up
 overlaps, tile by tile, and pairs whose size or overlap misses the bound are
-discarded.  It runs in two passes: the smallest document of each block against
+discarded.  Bit maps of the sets, a twentieth of their size, go first: they bound
+every overlap from above, and only documents that may link in a block send their
+sets there.  It runs in two passes: the smallest document of each block against
 its members, then, once those links have made components, only the pairs that
 are still apart.  Pairs never become rows of a table.
 
@@ -19,7 +21,7 @@ An empty table gives an empty result.  Other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratingloom.llm.batches import list_column, pieces, ranges
+from ratingloom.llm.batches import grouped_tables, list_column, pieces, ranges
 from ratingloom.llm.components import components
 from ratingloom.llm.words import mix, shingles, sorted_sets, word_hashes
 from ratingloom.scratch import materialize
@@ -162,6 +164,84 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(compute, "doc_id long, size long, items array<long>")
 
 
+def _marks(sets: DataFrame) -> DataFrame:
+    """(doc_id, size, marks): a bit map of each set, of the first power of two from twice its size on."""
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            items = batch.column("items")
+            sizes = np.diff(items.offsets.to_numpy()).astype(np.int64)
+            bits = np.maximum(64, 2 << np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64))
+            begin = np.cumsum(bits) - bits
+            place = mix(items.flatten().to_numpy().view(np.uint64)).astype(np.int64) & np.repeat(bits - 1, sizes)
+            held = np.zeros(int(bits.sum()), np.uint8)
+            held[np.repeat(begin, sizes) + place] = 1
+            data = np.packbits(held, bitorder="little").tobytes()
+            ends = (np.append(begin, bits.sum()) // 8).tolist()
+            marks = pa.array([data[a:b] for a, b in zip(ends[:-1], ends[1:])], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes), marks], ["doc_id", "size", "marks"])
+
+    return sets.select("doc_id", "items").mapInArrow(compute, "doc_id long, size long, marks binary")
+
+
+def _folded(rows: np.ndarray, words: int) -> np.ndarray:
+    """Bit maps at a smaller size: places count modulo it."""
+    while rows.shape[1] > words:
+        half = rows.shape[1] // 2
+        rows = rows[:, :half] | rows[:, half:]
+    return rows
+
+
+def may_link(left: list[bytes], left_sizes: np.ndarray, right: list[bytes], right_sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of sets may reach the similarity, by their bit maps; never wrong about one that does.
+
+    Equal items share a bit, so an overlap is at most the common bits and what either
+    set has beyond one item for each of its bits.
+    """
+
+    def by_length(marks: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        lengths = np.array([len(m) for m in marks])
+        for length in np.unique(lengths):
+            at = np.flatnonzero(lengths == length)
+            yield at, np.frombuffer(b"".join(marks[i] for i in at), np.uint64).reshape(len(at), -1)
+
+    found = np.zeros((len(left), len(right)), bool)
+    others = list(by_length(right))
+    for at_left, rows in by_length(left):
+        for at_right, columns in others:
+            words = min(rows.shape[1], columns.shape[1])
+            a, b = _folded(rows, words), _folded(columns, words)
+            more_a = left_sizes[at_left] - np.bitwise_count(a).sum(axis=1, dtype=np.int64)
+            more_b = right_sizes[at_right] - np.bitwise_count(b).sum(axis=1, dtype=np.int64)
+            for i, row in enumerate(a):
+                most = np.bitwise_count(row & b).sum(axis=1, dtype=np.int64) + np.minimum(more_a[i], more_b)
+                found[at_left[i], at_right] = 100 * most >= percent * (left_sizes[at_left[i]] + right_sizes[at_right] - most)
+    return found
+
+
+def _each_product(batches: Iterator[pa.RecordBatch], work: Callable[[pa.Table], pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``work`` on the rows of each (block, i, j) of sorted batches."""
+    for table in grouped_tables(batches, ["block", "i", "j"]):
+        yield work(table.combine_chunks())
+
+
+def _alive(tasks: DataFrame, percent: int) -> DataFrame:
+    """(block, i, j, side, doc_id, label) of documents that may link with the other side of a product."""
+
+    def work(whole: pa.Table) -> pa.RecordBatch:
+        side, label, sizes = (whole.column(c).to_numpy() for c in ("side", "label", "size"))
+        marks = whole.column("marks").to_pylist()
+        cut = int(np.searchsorted(side, 1))
+        hit = may_link(marks[:cut], sizes[:cut], marks[cut:], sizes[cut:], percent) & (label[:cut, None] != label[None, cut:])
+        kept = whole.select(names).filter(pa.array(np.append(hit.any(axis=1), hit.any(axis=0))))
+        return pa.RecordBatch.from_arrays([c.combine_chunks() for c in kept.columns], names)
+
+    names = ["block", "i", "j", "side", "doc_id", "label"]
+    parted = tasks.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j", "side", "doc_id")
+    found = parted.select(*names, "size", "marks").mapInArrow(lambda batches: _each_product(batches, work), "block long, i int, j int, side int, doc_id long, label long")
+    return found.distinct()
+
+
 def _products(tasks: DataFrame, percent: int) -> DataFrame:
     """Links (u, v) within each product of a block's left and right side.
 
@@ -172,8 +252,7 @@ def _products(tasks: DataFrame, percent: int) -> DataFrame:
     parted = tasks.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j", "side", "doc_id")
     names = ["block", "i", "j", "side", "doc_id", "label", "items"]
 
-    def multiply(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        whole = pa.Table.from_batches(held).combine_chunks()
+    def multiply(whole: pa.Table) -> pa.RecordBatch:
         side, ids, label = (whole.column(c).to_numpy() for c in ("side", "doc_id", "label"))
         items = whole.column("items").combine_chunks()
         sizes = np.diff(items.offsets.to_numpy()).astype(np.int64)
@@ -200,28 +279,7 @@ def _products(tasks: DataFrame, percent: int) -> DataFrame:
                 v.append(y)
         return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
-    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        current = None
-        for batch in batches:
-            columns = [batch.column(c).to_numpy() for c in ("block", "i", "j")]
-            if not batch.num_rows:
-                continue
-            changed = np.zeros(batch.num_rows, bool)
-            for c in columns:
-                changed[1:] |= c[1:] != c[:-1]
-            begins = np.concatenate([[0], np.flatnonzero(changed), [batch.num_rows]])
-            for begin, end in zip(begins[:-1].tolist(), begins[1:].tolist()):
-                name = tuple(int(c[begin]) for c in columns)
-                if current is not None and name != current:
-                    yield multiply(held)
-                    held = []
-                current = name
-                held.append(batch.slice(begin, end - begin))
-        if held:
-            yield multiply(held)
-
-    return parted.select(names).mapInArrow(products, "u long, v long")
+    return parted.select(names).mapInArrow(lambda batches: _each_product(batches, multiply), "u long, v long")
 
 
 def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -252,7 +310,13 @@ def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
 
     needed = members.select("doc_id").union(members.select(F.col("block").alias("doc_id"))).distinct()
     sets = materialize(_sets(docs.join(needed.hint("merge"), "doc_id", "left_semi"), words), "row-sets")
-    sizes = sets.groupBy("doc_id").agg(F.max("size").alias("size"))
+    marks = materialize(_marks(sets), "row-marks")
+    sizes = marks.groupBy("doc_id").agg(F.max("size").alias("size"))
+
+    def multiplied(rows: DataFrame, name: str) -> DataFrame:
+        """Links of products, sets being sent for documents that may have one."""
+        alive = materialize(_alive(rows.join(marks, "doc_id"), percent), f"{name}-alive")
+        return _products(alive.join(sets.select("doc_id", "items").hint("merge"), "doc_id"), percent)
 
     # The smallest document of each block times its members.
     spans = F.greatest(F.ceil(F.col("n") / BLOCK_DOCUMENTS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
@@ -267,8 +331,8 @@ def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
     stars = in_parts.select("block", F.lit(0).alias("i"), "j").distinct()
     left = stars.select("block", "i", "j", F.lit(0).alias("side"), F.col("block").alias("doc_id"))
     right = in_parts.select("block", F.lit(0).alias("i"), "j", F.lit(1).alias("side"), "doc_id")
-    rows = left.union(right).join(sets.select("doc_id", "items"), "doc_id").withColumn("label", F.col("side").cast("long"))
-    star_links = materialize(_products(rows, percent), "star-links")
+    stars = left.union(right).withColumn("label", F.col("side").cast("long"))
+    star_links = materialize(multiplied(stars, "star"), "star-links")
     copy_links = copies.select(F.col("doc_id").alias("u"), F.col("first").alias("v"))
 
     # What the stars have not connected, against its whole block.
@@ -286,8 +350,7 @@ def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
     left_parts, right_parts = apart.select("block", "i").distinct(), whole.select("block", "j").distinct()
     left = apart.join(right_parts, "block").select("block", "i", "j", F.lit(0).alias("side"), "doc_id", "label")
     right = whole.join(left_parts, "block").select("block", "i", "j", F.lit(1).alias("side"), "doc_id", "label")
-    rows = left.union(right).join(sets.select("doc_id", "items"), "doc_id")
-    rest_links = _products(rows, percent)
+    rest_links = multiplied(left.union(right), "rest")
 
     links = star_links.union(rest_links).union(copy_links)
     found = components(links).select(F.col("id").alias("doc_id"), F.col("component").alias("component_id"))

@@ -99,3 +99,22 @@ def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, i) for i in range(101, 140)] + [(7, 7), (200, 199)]
     found = dict(map(tuple, components(spark.createDataFrame(edges, "u long, v long")).collect()))
     assert all(found[i] == 0 for i in range(51)) and all(found[i] == 100 for i in range(100, 140)) and found[200] == found[199] == 199
+
+
+def test_bit_maps_never_miss_a_link(spark):
+    rng = np.random.default_rng(6)
+    sets = []
+    for n in (1, 2, 30, 33, 60, 64, 70, 500, 700):
+        base = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        for share in (0.0, 0.03, 0.1, 0.2, 0.5, 1.0):
+            other = base.copy()
+            other[rng.random(len(base)) < share] = rng.integers(0, 1 << 63)
+            sets.append(np.unique(np.append(other, rng.integers(0, 1 << 63, rng.integers(0, 3)).astype(np.uint64))))
+    table = spark.createDataFrame([(i, len(x), x.view(np.int64).tolist()) for i, x in enumerate(sets)], "doc_id long, size long, items array<long>")
+    rows = sorted(jaccard._marks(table).collect())
+    marks, sizes = [bytes(r["marks"]) for r in rows], np.array([r["size"] for r in rows])
+    for percent in (80, 90):
+        may = jaccard.may_link(marks, sizes, marks, sizes, percent)
+        true = np.array([[100 * len(np.intersect1d(a, b)) >= percent * len(np.union1d(a, b)) for b in sets] for a in sets])
+        assert not (true & ~may).any()
+        assert may.sum() < 0.4 * may.size
