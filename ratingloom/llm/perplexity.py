@@ -35,13 +35,16 @@ from ratingloom.llm.batches import list_column, pieces
 from ratingloom.llm.quantiles import group_quantiles
 from ratingloom.scratch import materialize
 
-#: Trusted documents that train the model, about (those with the lowest id hashes), and their share of a threshold's quantile.
-FIT_DOCUMENTS, QUANTILE, MARGIN = 20_000, 0.995, 1.1
+#: Share of the trusted documents that a threshold lets pass, and what it is multiplied by.
+QUANTILE, MARGIN = 0.995, 1.1
 
 #: Most n-grams whose probabilities (two numbers each) are copied to every executor
 #: instead of meeting the documents' counts in a shuffle.
 COPIED_GRAMS = 1_000_000
 
+#: Most bitmaps (of 32,768 neighbouring ids, 4 KB each) that are copied to every executor to pick the trusted documents.
+COPIED_BITMAPS = 4_096
+
 # An n-gram of three characters is one number of 63 bits; 0 stands before a text.
 _BITS = 21
 _MASK = (1 << _BITS) - 1
@@ -174,19 +177,31 @@ def document_perplexity(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     return sums.select("doc_id", F.round(F.exp(-F.col("logp") / F.col("n")), 6).alias("perplexity"))
 
 
-def classify(docs: DataFrame, trusted_ids: DataFrame, fit_documents: int = FIT_DOCUMENTS, quantile: float = QUANTILE, margin: float = MARGIN) -> DataFrame:
+def _among(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is among ``ids`` (distinct doc_id).
+
+    The ids are copied as bitmaps, so that no text is moved: a bit for every id between
+    where ids are close.  Ids so scattered that too many bitmaps would be nearly empty are joined.
+    """
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position("doc_id")).alias("_bits")
+    maps = materialize(ids.groupBy(F.bitmap_bucket_number("doc_id").alias("_bucket")).agg(bits), "trusted-bits")
+    if maps.count() > COPIED_BITMAPS:
+        return docs.join(ids, "doc_id", "left_semi")
+    at = F.bitmap_bit_position("doc_id")
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = docs.withColumn("_bucket", F.bitmap_bucket_number("doc_id")).join(F.broadcast(maps), "_bucket")
+    return held.where(byte.bitwiseAND(F.power(F.lit(2), at % 8).cast("int")) != 0).select(*docs.columns)
+
+
+def classify(docs: DataFrame, trusted_ids: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN) -> DataFrame:
     """doc_id, lang, perplexity, threshold, kept for every row of ``docs``.
 
-    ``trusted_ids`` (doc_id) names the trusted documents; about ``fit_documents``
-    of them train the model, all of them set the thresholds.
+    ``trusted_ids`` (doc_id) names the trusted documents; all of them train the
+    model and set the thresholds.
     """
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62))).alias("doc_id"), "lang", "text", F.col("doc_id").isNull().alias("no_id"))
     trusted = materialize(trusted_ids.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "trusted")
-    share = min(1.0, fit_documents / max(1, trusted.count()))
-    draw = F.xxhash64("doc_id").bitwiseAND(F.lit((1 << 40) - 1)) / float(1 << 40)
-    # About fit_documents ids, whatever the corpus holds.
-    chosen = materialize(trusted.where(draw <= share), "trusted-fit")
-    fit = docs.join(F.broadcast(chosen), "doc_id", "left_semi")
+    fit = _among(docs, trusted)
     scored = materialize(document_perplexity(docs, fit), "perplexities")
 
     judged = materialize(docs.select("doc_id", "lang", "no_id").join(scored, "doc_id", "left"), "judged")

@@ -138,3 +138,23 @@ def test_limits_and_verdicts_like_brute_force(spark, documents):
             assert r["perplexity"] is None and not r["kept"]
         elif abs(worth[r["doc_id"]] / limit - 1) > 1e-4:
             assert r["kept"] == (worth[r["doc_id"]] <= limit)
+
+
+def test_every_trusted_document_trains_the_model(spark, monkeypatch):
+    """More of them than any number that a sample would have kept."""
+    seen = []
+    whole = pp.document_perplexity
+    monkeypatch.setattr(pp, "document_perplexity", lambda docs, trusted: seen.append(trusted.select("doc_id").distinct().count()) or whole(docs, trusted))
+    docs = spark.range(45_000).selectExpr("id AS doc_id", "'en' AS lang", "concat('text ', id) AS text")
+    judged = pp.classify(docs, docs.where("doc_id % 3 > 0").select("doc_id"))
+    assert judged.count() == 45_000
+    assert seen == [30_000]
+
+
+@pytest.mark.parametrize("copied", [0, 4_096])
+def test_documents_are_picked_by_id_however_the_ids_lie(spark, monkeypatch, copied):
+    monkeypatch.setattr(pp, "COPIED_BITMAPS", copied)
+    held = [*range(-70_000, 70_000, 13), 2**62, -(2**62) + 1, 32_767, 32_768, 32_769]
+    docs = spark.range(-70_010, 70_010).selectExpr("id AS doc_id", "'t' AS text").union(spark.createDataFrame([(2**62, "t"), (2**62 + 1, "t"), (-(2**62) + 1, "t")], "doc_id long, text string"))
+    ids = spark.createDataFrame([(i,) for i in set(held)], "doc_id long")
+    assert sorted(r.doc_id for r in pp._among(docs, ids).select("doc_id").collect()) == sorted(set(held))
