@@ -318,8 +318,10 @@ _dedupe_query("avg", "round(avg(rating), 6)")
     FROM ratings JOIN user_map USING (user_id) JOIN item_map USING (item_id)""",
 )
 def encode_known_ids(spark, folder):
-    maps = _indexed(spark, folder)
-    return indexing.encode(inputs.ratings(spark, folder), maps.user_map, maps.item_map)
+    # Stored once: the counts, the maps and the encoding each read the ratings again.
+    ratings = materialize(inputs.ratings(spark, folder), "ratings")
+    maps = indexing.index_ids(materialize(thresholds.min_interactions(ratings, MINIMUM), "kept"))
+    return indexing.encode(ratings, maps.user_map, maps.item_map)
 
 
 @query(
