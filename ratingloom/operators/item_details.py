@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratingloom.scratch import materialize
+
 
 def key_list(spark: SparkSession, keys: Sequence[str]) -> DataFrame:
     """(ordinal, key) of a short list: each key once, at its first place."""
@@ -75,3 +77,22 @@ def lookup(details: DataFrame, keys: DataFrame, key: str = "asin") -> DataFrame:
         .orderBy("ordinal")
         .select("ordinal", key, *[f"first.{name}" for name in fields])
     )
+
+
+def positions(rows: DataFrame, *order: str) -> DataFrame:
+    """``rows`` with ``position`` 1, 2, ... first, in the order of columns without ties.
+
+    Stored in ranges of that order; a position is the sizes of the ranges before plus the
+    place in its own, so no task sees more than a range.
+    """
+    columns = rows.columns
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    stored = materialize(ranged.withColumn("_at", F.monotonically_increasing_id()), "positions")
+    stored = stored.withColumn("_part", F.shiftright("_at", 33))
+    starts, total = [], 0
+    for part, size in sorted(tuple(row) for row in stored.groupBy("_part").agg(F.count("*")).collect()):
+        starts.append((part, total))
+        total += size
+    before = rows.sparkSession.createDataFrame(starts, "_part bigint, _start bigint")
+    position = (F.col("_start") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).cast("int").alias("position")
+    return stored.join(F.broadcast(before), "_part").select(position, *columns)

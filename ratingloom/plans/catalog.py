@@ -1298,11 +1298,17 @@ def _wanted_parts(spark: SparkSession, folder: str) -> DataFrame:
     return item_details.first_places(bought.union(absent))
 
 
-@query("item_lookup", _LOOKED_UP)
+@query(
+    "item_lookup",
+    _LOOKED_UP.replace(
+        "SELECT place AS ordinal,",
+        "SELECT CAST(row_number() OVER (ORDER BY place, key) AS INTEGER) AS position, place AS ordinal,",
+    ),
+)
 def item_lookup(spark, folder):
-    """Looked up in the parsed lines."""
+    """Looked up in the parsed lines, with every answer's position in the list."""
     documents = item_details.describe(read_metadata(spark, _part_documents(spark, folder)))
-    return item_details.lookup(documents, _wanted_parts(spark, folder))
+    return item_details.positions(item_details.lookup(documents, _wanted_parts(spark, folder)), "ordinal", "asin")
 
 
 @query("item_lookup_stored", _LOOKED_UP)
