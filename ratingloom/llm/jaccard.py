@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratingloom.llm.batches import grouped_tables, list_column, pieces, ranges
+from ratingloom.llm.batches import grouped_tables, list_column, pieces, ranges, released
 from ratingloom.llm.components import components
 from ratingloom.llm.words import mix, shingles, sorted_sets, word_hashes
 from ratingloom.scratch import materialize
@@ -149,7 +149,7 @@ def fingerprints(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
             )
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        compute, "doc_id long, n_shingles long, print1 long, print2 long, keys array<long>"
+        released(compute), "doc_id long, n_shingles long, print1 long, print2 long, keys array<long>"
     )
 
 
@@ -161,7 +161,7 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
             sets, sizes = _row_sets(batch, words)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes.astype(np.int64)), list_column(sets.view(np.int64), sizes)], ["doc_id", "size", "items"])
 
-    return docs.select("doc_id", "text").mapInArrow(compute, "doc_id long, size long, items array<long>")
+    return docs.select("doc_id", "text").mapInArrow(released(compute), "doc_id long, size long, items array<long>")
 
 
 def _marks(sets: DataFrame) -> DataFrame:
@@ -181,7 +181,7 @@ def _marks(sets: DataFrame) -> DataFrame:
             marks = pa.array([data[a:b] for a, b in zip(ends[:-1], ends[1:])], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes), marks], ["doc_id", "size", "marks"])
 
-    return sets.select("doc_id", "items").mapInArrow(compute, "doc_id long, size long, marks binary")
+    return sets.select("doc_id", "items").mapInArrow(released(compute), "doc_id long, size long, marks binary")
 
 
 def _folded(rows: np.ndarray, words: int) -> np.ndarray:
@@ -238,7 +238,7 @@ def _alive(tasks: DataFrame, percent: int) -> DataFrame:
 
     names = ["block", "i", "j", "side", "doc_id", "label"]
     parted = tasks.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j", "side", "doc_id")
-    found = parted.select(*names, "size", "marks").mapInArrow(lambda batches: _each_product(batches, work), "block long, i int, j int, side int, doc_id long, label long")
+    found = parted.select(*names, "size", "marks").mapInArrow(released(lambda batches: _each_product(batches, work)), "block long, i int, j int, side int, doc_id long, label long")
     return found.distinct()
 
 
@@ -279,7 +279,7 @@ def _products(tasks: DataFrame, percent: int) -> DataFrame:
                 v.append(y)
         return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
-    return parted.select(names).mapInArrow(lambda batches: _each_product(batches, multiply), "u long, v long")
+    return parted.select(names).mapInArrow(released(lambda batches: _each_product(batches, multiply)), "u long, v long")
 
 
 def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
